@@ -1,0 +1 @@
+"""Nothing lives here: every job in this library is a bounded batch (see README, "What is left out")."""
