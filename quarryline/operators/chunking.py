@@ -52,50 +52,41 @@ def split_sections(blocks: DataFrame, keys: Sequence[str] = ("doc_id", "block"))
     carried = [c for c in blocks.columns if c not in (*keys, "block_text")]
     in_block = Window.partitionBy(*keys).orderBy("line_no")
     so_far = in_block.rowsBetween(Window.unboundedPreceding, 0)
-
-    line = F.col("line")
-    rows = blocks.select(*keys, *carried, F.posexplode(X.lines(F.col("block_text"))).alias("line_no", "raw"))
-    rows = rows.withColumn("line", X.strip(F.col("raw"))).drop("raw")
-    is_fence = line.startswith("```") | line.startswith("~~~")
-    rows = rows.withColumn("is_fence", is_fence)
-    rows = rows.withColumn("fences", F.sum(F.col("is_fence").cast("int")).over(so_far))
-    # Inside a fence: after an odd number of fence lines, or on a fence line itself.
-    fenced = ((F.col("fences") % 2) == 1) | F.col("is_fence")
-    level = (
-        F.when(fenced, 0).when(line.rlike(r"^###(\s|$)"), 3).when(line.rlike(r"^##(\s|$)"), 2).otherwise(0)
-    )
-    rows = rows.withColumn("fenced", fenced).withColumn("level", level)
-    title = X.strip(F.regexp_replace("line", "^#+", ""))
-    rows = (
-        rows.withColumn("h2", F.last(F.when(F.col("level") == 2, title), ignorenulls=True).over(so_far))
-        .withColumn("h2_line", F.last(F.when(F.col("level") == 2, F.col("line_no")), ignorenulls=True).over(so_far))
-        .withColumn(
-            "h3_last",
-            F.last(F.when(F.col("level") == 3, F.struct("line_no", title.alias("title"))), ignorenulls=True).over(so_far),
-        )
-        .withColumn(
-            "gap", F.sum(((F.col("level") > 0) | (~F.col("fenced") & (line == ""))).cast("int")).over(so_far)
-        )
+    col, line = F.col, F.col("line")
+
+    rows = blocks.select(*keys, *carried, F.posexplode(X.lines(col("block_text"))).alias("line_no", "raw"))
+    rows = rows.select(*keys, *carried, "line_no", X.strip(col("raw")).alias("line"))
+    rows = rows.withColumn("is_fence", line.startswith("```") | line.startswith("~~~"))
+    rows = rows.withColumn("fences", F.sum(col("is_fence").cast("int")).over(so_far))
+    # Fenced: after an odd number of fence lines, or a fence line itself.
+    rows = rows.withColumn("fenced", ((col("fences") % 2) == 1) | col("is_fence"))
+    level = F.when(col("fenced"), 0).when(line.rlike(r"^###(\s|$)"), 3).when(line.rlike(r"^##(\s|$)"), 2).otherwise(0)
+    rows = rows.withColumn("level", level)
+
+    header = F.struct("line_no", X.strip(F.regexp_replace("line", "^#+", "")).alias("title"))
+    paragraph_end = (col("level") > 0) | (~col("fenced") & (line == ""))
+    rows = rows.select(
+        "*",
+        F.last(F.when(col("level") == 2, header), ignorenulls=True).over(so_far).alias("last_h2"),
+        F.last(F.when(col("level") == 3, header), ignorenulls=True).over(so_far).alias("last_h3"),
+        F.sum(paragraph_end.cast("int")).over(so_far).alias("gap"),
     )
-    below_h2 = F.col("h2_line").isNull() | (F.col("h3_last.line_no") > F.col("h2_line"))
-    body = rows.withColumn("h3", F.when(below_h2, F.col("h3_last.title"))).where(
-        (F.col("level") == 0) & (F.col("fenced") | (line != ""))
+    below_h2 = col("last_h2").isNull() | (col("last_h3.line_no") > col("last_h2.line_no"))
+    body = rows.where((col("level") == 0) & (col("fenced") | (line != ""))).select(
+        *keys, *carried, "line_no", "line", "gap",
+        col("last_h2.title").alias("h2"), F.when(below_h2, col("last_h3.title")).alias("h3"),
     )
     path = F.struct("h2", "h3")
-    body = body.withColumn("before", F.lag(F.struct(path.alias("path"), F.col("gap").alias("gap"))).over(in_block))
-    starts = F.col("before").isNull() | ~F.col("before.path").eqNullSafe(path)
-    glue = F.when(starts, "").when(F.col("before.gap") == F.col("gap"), "\n").otherwise("\n\n")
+    body = body.withColumn("before", F.lag(F.struct(path.alias("path"), col("gap").alias("gap"))).over(in_block))
+    starts = col("before").isNull() | ~col("before.path").eqNullSafe(path)
+    glue = F.when(starts, "").when(col("before.gap") == col("gap"), "\n").otherwise("\n\n")
     body = body.withColumn("section_no", F.sum(starts.cast("int")).over(so_far) - 1).withColumn(
         "piece", F.concat(glue, line)
     )
     ordered = F.array_sort(F.collect_list(F.struct("line_no", "piece")))
-    return (
-        body.groupBy(*keys, "section_no")
-        .agg(
-            *[F.first(c).alias(c) for c in (*carried, "h2", "h3")],
-            F.array_join(F.transform(ordered, lambda p: p["piece"]), "").alias("section_text"),
-        )
-        .where(X.strip(F.col("section_text")) != "")
+    return body.groupBy(*keys, "section_no").agg(
+        *[F.first(c).alias(c) for c in (*carried, "h2", "h3")],
+        F.array_join(F.transform(ordered, lambda p: p["piece"]), "").alias("section_text"),
     )
 
 
@@ -128,25 +119,41 @@ def size_pieces(text: str, size: int, overlap: int, separators: Sequence[str]) -
     return out
 
 
-def recursive_pieces(
-    text: Column, size: int = 3000, overlap: int = 300, separators: Sequence[str] = SEPARATORS
-) -> Column:
-    """Size split of a text column into ``array<string>``, in Arrow batches; sequential inside one text only."""
+def stripped_pieces(text: str, size: int, overlap: int, separators: Sequence[str]) -> list[str]:
+    return [p for p in (x.strip() for x in size_pieces(text, size, overlap, separators)) if p]
+
+
+def _check_size(size: int, overlap: int, separators: Sequence[str]) -> None:
     if not 0 <= overlap < size:
         raise ValueError("overlap must be at least 0 and below size")
     if separators[-1] != "":
         raise ValueError("the empty separator must be the last resort")
 
-    def split_one(one: str) -> list[str]:
-        return [p for p in (x.strip() for x in size_pieces(one, size, overlap, separators)) if p]
+
+def recursive_pieces(
+    text: Column, size: int = 3000, overlap: int = 300, separators: Sequence[str] = SEPARATORS
+) -> Column:
+    """Size split of a text column into ``array<string>``, in Arrow batches; sequential inside one text only."""
+    _check_size(size, overlap, separators)
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
     def split(texts: pd.Series) -> pd.Series:
-        return texts.map(split_one, na_action="ignore")
+        return texts.map(lambda text: stripped_pieces(text, size, overlap, separators), na_action="ignore")
 
     return split(text)
 
 
+def recursive_pieces_of_each(texts: Column, size: int, overlap: int, separators: Sequence[str] = SEPARATORS) -> Column:
+    """``recursive_pieces`` of every text of an array: ``array<array<string>>``."""
+    _check_size(size, overlap, separators)
+
+    @F.pandas_udf(T.ArrayType(T.ArrayType(T.StringType())))
+    def split(lists: pd.Series) -> pd.Series:
+        return lists.map(lambda one: [stripped_pieces(text, size, overlap, separators) for text in one])
+
+    return split(texts)
+
+
 def character_windows(df: DataFrame, text: str, size: int, overlap: int) -> DataFrame:
     """Fixed character windows: adds ``piece_no`` and ``piece`` for each row."""
     starts = X.window_starts(F.length(text), size, overlap)
@@ -182,13 +189,15 @@ def with_context(topic: Column, section: Column, content: Column) -> Column:
     return F.concat(F.lit("Topic: "), topic, F.lit("\nSection: "), section, F.lit("\n\n"), content)
 
 
+def chunk_name(doc_id: Column, index: Column) -> Column:
+    return F.format_string("%s::%05d", F.coalesce(doc_id, F.lit("doc")), index)
+
+
 def number_chunks(pieces: DataFrame, order: Sequence[str]) -> DataFrame:
     """Number the chunks of each document from 0 and name them; adds ``doc_chunk_index`` and ``chunk_id``."""
     in_doc = Window.partitionBy("doc_id").orderBy(*order)
     numbered = pieces.withColumn("doc_chunk_index", F.row_number().over(in_doc) - 1)
-    return numbered.withColumn(
-        "chunk_id", F.format_string("%s::%05d", F.coalesce("doc_id", F.lit("doc")), "doc_chunk_index")
-    )
+    return numbered.withColumn("chunk_id", chunk_name(F.col("doc_id"), F.col("doc_chunk_index")))
 
 
 def merge_metadata(*layers: Column) -> Column:
@@ -211,13 +220,15 @@ def embedding_text(content: Column, metadata: dict[str, Column]) -> Column:
     return F.when(header == "", content).otherwise(F.concat(header, F.lit("\n\n"), content))
 
 
-def _finish(pieces: DataFrame, order: Sequence[str], inject_context: bool) -> DataFrame:
-    """From (doc_id, source, relative_path, topic, h2, h3, piece) to chunk rows."""
+def _finish(pieces: DataFrame, inject_context: bool) -> DataFrame:
+    """From (doc_id, source, relative_path, doc_chunk_index, topic, h2, h3, piece) to chunk rows."""
     col = F.col
-    labelled = pieces.withColumn("section", section_label(col("h2"), col("h3"), col("topic")))
+    rows = pieces.withColumn("section", section_label(col("h2"), col("h3"), col("topic")))
     content = with_context(col("topic"), col("section"), col("piece")) if inject_context else col("piece")
-    rows = number_chunks(labelled.withColumn("content", content), order)
-    nullable = {"H2": col("h2"), "H3": col("h3")}
+    rows = rows.withColumn("content", content)
+    rows = rows.withColumn("chunk_id", chunk_name(col("doc_id"), col("doc_chunk_index")))
+    doc = {"source": col("source"), "relative_path": col("relative_path"), "doc_id": col("doc_id")}
+    headers = {"H2": col("h2"), "H3": col("h3")}
     ours = {
         "document_id": col("doc_id"),
         "chunk_index": col("doc_chunk_index").cast("string"),
@@ -225,12 +236,11 @@ def _finish(pieces: DataFrame, order: Sequence[str], inject_context: bool) -> Da
         "topic": col("topic"),
         "section": col("section"),
     }
-    doc = {"source": col("source"), "relative_path": col("relative_path"), "doc_id": col("doc_id")}
 
     def as_map(entries: dict[str, Column]) -> Column:
         return F.create_map(*[x for key, value in entries.items() for x in (F.lit(key), value)])
 
-    headers = F.map_filter(as_map(nullable), lambda _, value: value.isNotNull())
+    present = F.map_filter(as_map(headers), lambda _, value: value.isNotNull())
     return rows.select(
         "doc_id",
         "source",
@@ -240,8 +250,8 @@ def _finish(pieces: DataFrame, order: Sequence[str], inject_context: bool) -> Da
         "topic",
         "section",
         "content",
-        embedding_text(col("content"), {**doc, **nullable, **ours}).alias("embed_text"),
-        F.to_json(merge_metadata(as_map(doc), headers, as_map(ours))).alias("chunk_metadata"),
+        embedding_text(col("content"), {**doc, **headers, **ours}).alias("embed_text"),
+        F.to_json(merge_metadata(as_map(doc), present, as_map(ours))).alias("chunk_metadata"),
     )
 
 
@@ -256,19 +266,34 @@ def chunk_corpus(
     placed = docs.select("doc_id", "source", "relative_path", "text").repartition("doc_id")
     blocks = split_blocks(placed).withColumn("topic", block_topic(F.col("block_text"), max_topic_lines))
     sections = split_sections(blocks)
-    split = recursive_pieces(F.col("section_text"), size, overlap)
-    pieces = sections.select(
-        "doc_id", "source", "relative_path", "block", "topic", "section_no", "h2", "h3",
-        F.posexplode_outer(split).alias("piece_no", "piece"),
-    ).where(F.col("piece").isNotNull())
-    return _finish(pieces, ("block", "section_no", "piece_no"), inject_context)
+    # One row per document again (it came from one row): the position in its list of pieces numbers the chunks
+    # without another shuffle, which a window after the Python step would need.
+    part = F.struct("block", "section_no", "topic", "h2", "h3", "section_text")
+    whole = sections.groupBy("doc_id").agg(
+        F.first("source").alias("source"),
+        F.first("relative_path").alias("relative_path"),
+        F.array_sort(F.collect_list(part)).alias("parts"),
+    )
+    texts = F.transform("parts", lambda p: p["section_text"])
+    split = whole.withColumn("pieces", recursive_pieces_of_each(texts, size, overlap))
+
+    def named(p: Column, pieces: Column) -> Column:
+        return F.transform(pieces, lambda x: F.struct(p["topic"].alias("topic"), p["h2"].alias("h2"), p["h3"].alias("h3"), x.alias("piece")))
+
+    chunks = F.flatten(F.zip_with("parts", "pieces", named))
+    rows = split.select("doc_id", "source", "relative_path", F.posexplode_outer(chunks).alias("doc_chunk_index", "chunk"))
+    rows = rows.where(F.col("chunk").isNotNull()).select("doc_id", "source", "relative_path", "doc_chunk_index", "chunk.*")
+    return _finish(rows, inject_context)
 
 
 def chunk_fixed(docs: DataFrame, size: int = 500, overlap: int = 80) -> DataFrame:
-    """Fixed word windows with the same output columns as ``chunk_corpus``; structure is ignored."""
-    placed = docs.select("doc_id", "source", "relative_path", "text").repartition("doc_id")
+    """Fixed word windows with the same output columns as ``chunk_corpus``; structure is ignored. Needs no shuffle."""
     none = F.lit(None).cast("string")
-    pieces = word_windows(placed, "text", size, overlap).select(
-        "*", F.lit(NO_TOPIC).alias("topic"), none.alias("h2"), none.alias("h3")
+    rows = word_windows(docs.select("doc_id", "source", "relative_path", "text"), "text", size, overlap)
+    return _finish(
+        rows.select(
+            "doc_id", "source", "relative_path", F.col("piece_no").alias("doc_chunk_index"),
+            F.lit(NO_TOPIC).alias("topic"), none.alias("h2"), none.alias("h3"), "piece",
+        ),
+        inject_context=False,
     )
-    return _finish(pieces, ("piece_no",), inject_context=False)

@@ -16,6 +16,15 @@ ROWS_PER_TASK = 1_000_000
 BROADCAST_BYTES = 64 << 20
 
 
+def fill_cores(df: DataFrame, key: str) -> DataFrame:
+    """Cut a scan that comes in fewer splits than there are cores (one small file, say); larger scans stay as they are.
+
+    Heavy per-row work would otherwise run on one core.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The row of each key that sorts first by ``order`` (ascending, nulls first).
 

@@ -14,7 +14,9 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.clustering import KMeans
+from pyspark.ml.feature import Normalizer
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +51,12 @@ def _unit(matrix: np.ndarray) -> np.ndarray:
     return matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
 
 
+def _usable(rows: pa.RecordBatch | pa.Table) -> pa.RecordBatch | pa.Table:
+    """Rows with an embedding that is not all zeros."""
+    rows = rows.filter(pc.is_valid(rows.column("embedding")))
+    return rows.filter(pa.array(_matrix(rows.column("embedding")).any(axis=1))) if rows.num_rows else rows
+
+
 @dataclass(frozen=True)
 class _Queries:
     """Unit query vectors in row order, and per cell the rows that look into it (cell 0 alone: all rows)."""
@@ -59,6 +67,7 @@ class _Queries:
 
     @staticmethod
     def of(table: pa.Table) -> _Queries:
+        table = _usable(table)
         cells = table.column("cells").to_pylist()
         rows_of_cell: dict[int, list[int]] = {}
         for row, row_cells in enumerate(cells):
@@ -78,6 +87,9 @@ class _Best:
         self.rows = pd.DataFrame({"q": [], "dist": [], "chunk_id": [], "chunk_text": []})
 
     def add(self, batch: pa.RecordBatch | pa.Table) -> None:
+        batch = _usable(batch)
+        if not batch.num_rows:
+            return
         cells = batch.column("cell").to_numpy(zero_copy_only=False)
         vectors = _unit(_matrix(batch.column("embedding")))
         for cell in np.unique(cells):
@@ -129,21 +141,18 @@ class _Best:
         return pa.Table.from_pandas(hits[_HIT_COLUMNS], schema=schema, preserve_index=False)
 
 
-def _non_zero(embedding: str = "embedding") -> Column:
-    return F.exists(embedding, lambda x: x != 0)
-
-
 def _chunk_side(chunks: DataFrame, source: str | None, cell: Column) -> DataFrame:
     if source is not None:
         chunks = chunks.where(F.col("source") == source)
-    return chunks.where(_non_zero()).select(
+    # Missing and zero vectors are dropped in the tasks: a filter here would compute lazy embeddings twice.
+    return chunks.select(
         F.col("chunk_id").cast("string").alias("chunk_id"), "chunk_text", "embedding", cell.alias("cell")
     )
 
 
 def _query_side(queries: DataFrame, params: Sequence[int]) -> DataFrame:
     values = F.array(*[F.lit(int(p)) for p in params])
-    return queries.where(_non_zero()).select(
+    return queries.select(
         F.col("query_id").cast("string").alias("query_id"),
         F.col("query_text").cast("string").alias("query_text"),
         F.explode(values).alias("param_value"),
@@ -155,17 +164,16 @@ def _scan(chunks: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """Query matrix in every task; the caller has checked its size. Reads only cells that a query looks into."""
     spark = chunks.sparkSession
     table = queries.select("query_id", "query_text", "param_value", "embedding", "cells").toArrow()
-    if table.num_rows == 0:
-        return spark.createDataFrame([], HITS)
     packed = _Queries.of(table)
+    if not packed.rows_of_cell:
+        return spark.createDataFrame([], HITS)
     chunks = chunks.where(F.col("cell").isin(list(packed.rows_of_cell)))
     shared = spark.sparkContext.broadcast((packed.names, packed.unit, packed.rows_of_cell))
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = _Best(_Queries(*shared.value), k)
         for batch in batches:
-            if batch.num_rows:
-                best.add(batch)
+            best.add(batch)
         yield from best.table().to_batches()
 
     return chunks.mapInArrow(nearest, HITS)
@@ -268,15 +276,14 @@ class CellIndex:
 
 def build_cells(chunks: DataFrame, cells: int, seed: int = 0, training_rows: int = 1_000_000) -> CellIndex:
     """K-means cells over unit vectors. Above ``training_rows`` the centroids (only they) are fitted on a sample."""
-    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
-    unit = F.transform("embedding", lambda x: x.cast("double") / F.col("_norm"))
-    rows = chunks.where(_non_zero()).withColumn("_norm", norm).withColumn("_unit", array_to_vector(unit))
+    vectors = chunks.where(F.col("embedding").isNotNull()).withColumn("_vector", array_to_vector("embedding"))
+    rows = Normalizer(p=2.0, inputCol="_vector", outputCol="_unit").transform(vectors).drop("_vector")
     n = chunks.count()
     training = rows.select("_unit")
     if n > training_rows:
         training = training.sample(fraction=training_rows / n, seed=seed)
     model = KMeans(k=cells, seed=seed, featuresCol="_unit", predictionCol="cell").fit(training)
-    placed = model.transform(rows).drop("_norm", "_unit")
+    placed = model.transform(rows).drop("_unit")
     return CellIndex(placed, np.array(model.clusterCenters()))
 
 
@@ -287,6 +294,7 @@ def _nearest_cells(queries: DataFrame, centroids: np.ndarray) -> DataFrame:
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = _usable(batch)
             if not batch.num_rows:
                 continue
             away = weights - 2.0 * _unit(_matrix(batch.column("embedding"))) @ centroids.T

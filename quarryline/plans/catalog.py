@@ -26,9 +26,10 @@ from quarryline.operators import (
     rewrite,
     vector,
 )
+from quarryline.operators.scale import fill_cores, small_join
 from quarryline.plans import ingest
 from quarryline.plans.experiment import rewrite_experiment
-from quarryline.session import shared_folder
+from quarryline.session import shared_folder, stage
 from quarryline.sources import files, store
 
 DIM = 64
@@ -57,8 +58,12 @@ def queries() -> dict[str, Query]:
 # --- inputs ---------------------------------------------------------------------------------------------------------
 
 
+_TEXT_KEYS = {"documents": "doc_id", "conversations": "conv_id"}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    rows = spark.read.parquet(f"{sf}/{name}.parquet")
+    return fill_cores(rows, _TEXT_KEYS[name]) if name in _TEXT_KEYS else rows
 
 
 def markdown(title: Column, text: Column) -> Column:
@@ -158,7 +163,7 @@ def vector_hits(spark: SparkSession, sf: str) -> DataFrame:
 
 def keyword_hits(spark: SparkSession, sf: str) -> DataFrame:
     chunks, asked = documents_as_chunks(spark, sf), benchmark_queries(spark, sf)
-    return keyword.bm25_top_k(keyword.keyword_index(chunks, asked).staged(), chunks, asked, K)
+    return keyword.bm25_top_k(keyword.keyword_index(chunks, asked), chunks, asked, K)
 
 
 def pooled_truth(spark: SparkSession, sf: str, hits: DataFrame) -> DataFrame:
@@ -357,9 +362,17 @@ def c8(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("c9_metadata")
 def c9(spark: SparkSession, sf: str) -> DataFrame:
-    chunks = chunking.chunk_corpus(turns(spark, sf), 2000, 300)
-    field = {k: F.get_json_object("chunk_metadata", f"$.{k}") for k in ("source", "H2", "document_id", "chunk_index")}
-    return chunks.select("chunk_id", *[value.alias(f"meta_{k.lower()}") for k, value in field.items()])
+    """Document, header and chunk metadata of each section, merged; later layers win."""
+
+    def layer(**entries: Column) -> Column:
+        return F.create_map(*[x for key, value in entries.items() for x in (F.lit(key), value)])
+
+    doc = layer(source=F.col("source"), H2=F.lit("from document"), topic=F.lit("from document"))
+    headers = F.map_filter(layer(H2=F.col("h2"), H3=F.col("h3")), lambda _, value: value.isNotNull())
+    merged = chunking.merge_metadata(doc, headers, layer(topic=F.col("topic"), block=F.col("block").cast("string")))
+    sections = _sections(spark, sf).withColumn("meta", merged)
+    fields = [F.col("meta")[k].alias(f"meta_{k.lower()}") for k in ("source", "H2", "H3", "topic", "block")]
+    return sections.select("doc_id", F.col("section_no").cast("int"), *fields, F.size("meta").alias("n_keys"))
 
 
 @query("c10_embedding_text")
@@ -369,10 +382,21 @@ def c10(spark: SparkSession, sf: str) -> DataFrame:
     return _sections(spark, sf).select("doc_id", "block", F.col("section_no").cast("int"), text.alias("embed_text"))
 
 
+def _chunk_columns(chunks: DataFrame) -> DataFrame:
+    return chunks.select("chunk_id", "doc_chunk_index", "topic", "section", "content", "embed_text", "chunk_metadata")
+
+
 @query("c11_chunk_corpus")
 def c11(spark: SparkSession, sf: str) -> DataFrame:
-    chunks = chunking.chunk_corpus(corpus(spark, sf), 2000, 300)
-    return chunks.select("chunk_id", "doc_chunk_index", "topic", "section", "content", "embed_text", "chunk_metadata")
+    return _chunk_columns(chunking.chunk_corpus(corpus(spark, sf), 2000, 300))
+
+
+WHOLE = 1_000_000  # no section is this long, so the size split leaves each in one piece
+
+
+@query("c11_chunk_corpus_whole_sections")
+def c11_whole(spark: SparkSession, sf: str) -> DataFrame:
+    return _chunk_columns(chunking.chunk_corpus(corpus(spark, sf), WHOLE, 0))
 
 
 # --- hashing, duplicates, integrity ---------------------------------------------------------------------------------
@@ -438,7 +462,7 @@ def e1(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _entries(rows: DataFrame, key: str) -> DataFrame:
-    entries = rows.select(key, F.posexplode("embedding").alias("bucket", "weight"))
+    entries = rows.select(key, F.posexplode_outer("embedding").alias("bucket", "weight"))
     return entries.where("weight <> 0").select(key, "bucket", F.round(F.col("weight").cast("double"), 6).alias("weight"))
 
 
@@ -472,12 +496,19 @@ def v3(spark: SparkSession, sf: str) -> DataFrame:
     return vector.cell_top_k(index, label_queries(spark, sf), (1, 4, 16), K)
 
 
+@query("v3_all_cells")
+def v3_all(spark: SparkSession, sf: str) -> DataFrame:
+    """Looking into every cell is exact search."""
+    index = vector.build_cells(vectors(spark, sf), 16)
+    return _hit_columns(vector.cell_top_k(index, label_queries(spark, sf), (16,), K), "dist")
+
+
 @query("v4_postings")
 def v4(spark: SparkSession, sf: str) -> DataFrame:
-    index = keyword.keyword_index(documents_as_chunks(spark, sf)).staged()
+    index = keyword.keyword_index(documents_as_chunks(spark, sf))
     n = index.totals.select("n_chunks").scalar()
     avg_dl = index.totals.select("avg_dl").scalar()
-    return index.postings.join(index.token_df, "token").select(
+    return small_join(index.postings, index.token_df, ["token"], spread="chunk_id").select(
         "chunk_id", "token", "tf", "dl", "df", n.alias("n_chunks"), F.round(avg_dl, 6).alias("avg_dl")
     )
 
@@ -490,7 +521,7 @@ def v5(spark: SparkSession, sf: str) -> DataFrame:
 @query("v6_hybrid_search")
 def v6(spark: SparkSession, sf: str) -> DataFrame:
     asked = benchmark_queries(spark, sf)
-    index = keyword.keyword_index(documents_as_chunks(spark, sf), asked).staged()
+    index = keyword.keyword_index(documents_as_chunks(spark, sf), asked)
     hits = fusion.hybrid_search(embedded_chunks(spark, sf), embedded_queries(spark, sf), index, PARAMS, K)
     return _fused_columns(hits)
 
@@ -502,7 +533,9 @@ def _fused_columns(hits: DataFrame) -> DataFrame:
 
 
 def fused_hits(spark: SparkSession, sf: str) -> DataFrame:
-    return fusion.reciprocal_rank_fusion(vector_hits(spark, sf), keyword_hits(spark, sf), rows_per_query=2 * K)
+    """Fused hits, written once: reranking reads them twice."""
+    vec, key = vector_hits(spark, sf), keyword_hits(spark, sf)
+    return stage(fusion.reciprocal_rank_fusion(vec, key, rows_per_query=2 * K))
 
 
 @query("v7_rrf")
@@ -631,8 +664,8 @@ def m7(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _run_summaries(spark: SparkSession, sf: str) -> DataFrame:
-    vec, key = vector_hits(spark, sf), keyword_hits(spark, sf)
-    fused = fusion.reciprocal_rank_fusion(vec, key, rows_per_query=2 * K)
+    vec, key = stage(vector_hits(spark, sf)), stage(keyword_hits(spark, sf))
+    fused = stage(fusion.reciprocal_rank_fusion(vec, key, rows_per_query=2 * K))
     truth = pooled_truth(spark, sf, key)
     ranked = ("query_id", "chunk_id", "rank")
     runs = [
@@ -739,11 +772,21 @@ def q5(spark: SparkSession, sf: str) -> DataFrame:
 # --- whole jobs -----------------------------------------------------------------------------------------------------
 
 
+def _ingested(spark: SparkSession, sf: str, size: int, overlap: int) -> DataFrame:
+    folder = shared_folder(spark)
+    ingest.ingest(corpus(spark, sf), folder, DIM, lambda docs: chunking.chunk_corpus(docs, size, overlap), title="corpus")
+    owners = store.read_documents(spark, folder).select(F.col("id").alias("document_id"), "doc_metadata")
+    return store.read_chunks(spark, folder).join(owners, "document_id").select(
+        "id", "document_id", "source", "chunk_index", "content_hash", "doc_metadata", F.size("embedding").alias("dim")
+    )
+
+
 @query("ingest_corpus")
 def ingest_corpus(spark: SparkSession, sf: str) -> DataFrame:
     """Chunk, number, de-duplicate, embed, publish and read back the documents as markdown."""
-    folder = shared_folder(spark)
-    ingest.ingest(corpus(spark, sf), folder, DIM, lambda docs: chunking.chunk_corpus(docs, 2000, 300), title="corpus")
-    return store.read_chunks(spark, folder).select(
-        "id", "document_id", "source", "chunk_index", "content_hash", "chunk_metadata", F.size("embedding").alias("dim")
-    )
+    return _ingested(spark, sf, 2000, 300)
+
+
+@query("ingest_whole_sections")
+def ingest_whole(spark: SparkSession, sf: str) -> DataFrame:
+    return _ingested(spark, sf, WHOLE, 0)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quarryline.operators.chunking import chunk_corpus
 from quarryline.operators.embedding import hash_embed
-from quarryline.operators.integrity import add_content_hash, drop_duplicates
+from quarryline.operators.integrity import add_content_hash
 from quarryline.operators.scale import running_sum
 from quarryline.session import stage
 from quarryline.sources.store import publish
@@ -17,27 +17,19 @@ from quarryline.sources.store import publish
 Step = Callable[[DataFrame], DataFrame]
 
 
-def number_source(chunks: DataFrame) -> DataFrame:
-    """``chunk_index`` from 0 over all documents of a source, in document order.
+def unique_chunks(staged: DataFrame) -> DataFrame:
+    """The first chunk of every content per source, with its ``chunk_index`` among all chunks of the source.
 
-    A source may be most of the corpus, so only document sizes are sorted and summed; chunks never leave their
-    document. The chunks are staged first: sizes and rows both come from them.
+    Chunks of a source are numbered from 0 in document order, before duplicates go. A source, or the copies of one
+    content, may be most of the corpus: only document sizes are sorted and summed, and copies are reduced to their
+    first (document, position) in the map tasks. Texts take part in one join, by document and position.
     """
-    staged = stage(chunks)
-    sizes = staged.groupBy("source", "doc_id").agg((F.max("doc_chunk_index") + 1).alias("_size"))
-    starts = running_sum(sizes, ["source"], [F.col("doc_id")], F.col("_size"), "_start")
-    placed = staged.join(starts.select("doc_id", "_start"), "doc_id")
-    return placed.withColumn("chunk_index", F.col("_start") + F.col("doc_chunk_index")).drop("_start")
-
-
-def prepare_chunks(docs: DataFrame, chunker: Step = chunk_corpus) -> DataFrame:
-    """Chunks with ``chunk_index`` and ``content_hash``, before duplicates go."""
-    return add_content_hash(number_source(chunker(docs)))
-
-
-def unique_chunks(chunks: DataFrame) -> DataFrame:
-    """First chunk of every content per source."""
-    return drop_duplicates(chunks, tie="doc_id", keys=("source", "content_hash"), nulls=False)
+    sizes = staged.groupBy("source", "doc_id").agg((F.max("doc_chunk_index") + 1).alias("size"))
+    starts = running_sum(sizes, ["source"], [F.col("doc_id")], F.col("size"), "start").select("doc_id", "start")
+    first = staged.groupBy("source", "content_hash").agg(F.min(F.struct("doc_id", "doc_chunk_index")).alias("at"))
+    places = first.select("at.doc_id", "at.doc_chunk_index").join(starts, "doc_id")
+    indexed = places.select("doc_id", "doc_chunk_index", (F.col("start") + F.col("doc_chunk_index")).alias("chunk_index"))
+    return staged.join(indexed, ["doc_id", "doc_chunk_index"])
 
 
 def ingest(
@@ -56,7 +48,7 @@ def ingest(
     Duplicates go before embedding, which stores the same rows and saves model calls.
     """
     embed = embedder or (lambda df: hash_embed(df, "content", dim))
-    chunks = prepare_chunks(docs, chunker)  # reads staged chunks, so nothing below chunks again
+    chunks = stage(add_content_hash(chunker(docs)))
     counts = chunks.groupBy("source").agg(F.count("*").alias("n_chunks"))
     wanted = docs.select("source") if sources is None else sources
     return publish(embed(unique_chunks(chunks)), wanted, root, dim, title, embedding_model, extra, counts)

@@ -90,6 +90,13 @@ labelled AS (
   SELECT *, CASE WHEN coalesce(nullif(h3, ''), nullif(h2, ''), 'Overview') = topic THEN 'Overview'
                  ELSE coalesce(nullif(h3, ''), nullif(h2, ''), 'Overview') END AS section
   FROM sections)"""
+_DOC_SECTIONS = ",\n".join([_CORPUS, _blocks("corpus"), _SECTIONS])
+_CHUNKS = """numbered_chunks AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY block, section_no) - 1 AS INTEGER) AS doc_chunk_index,
+         substr(doc_id, length(source) + 3) AS relative_path,
+         'Topic: ' || topic || e'\\nSection: ' || section || e'\\n\\n' || section_text AS content
+  FROM labelled),
+chunks_named AS (SELECT *, doc_id || '::' || lpad(doc_chunk_index::VARCHAR, 5, '0') AS chunk_id FROM numbered_chunks)"""
 _ALL_SECTIONS = ",\n".join(
     [_CORPUS, _TURNS, "both_corpora AS (SELECT * FROM corpus UNION ALL SELECT * FROM turns)", _blocks("both_corpora"), _SECTIONS]
 )
@@ -341,6 +348,27 @@ run_labelled AS (
                             AS doc_chunk_index FROM sections)
             SELECT doc_id, block, section_no, doc_chunk_index, doc_id || '::' || lpad(doc_chunk_index::VARCHAR, 5, '0') AS chunk_id
             FROM positions""",
+        "c9_metadata": f"""WITH {_ALL_SECTIONS} SELECT doc_id, section_no, source AS meta_source,
+            coalesce(h2, 'from document') AS meta_h2, h3 AS meta_h3, topic AS meta_topic, block::VARCHAR AS meta_block,
+            CAST(4 + (h3 IS NOT NULL)::INT AS INTEGER) AS n_keys FROM sections""",
+        "c11_chunk_corpus_whole_sections": f"""WITH {_DOC_SECTIONS}, {_CHUNKS}
+            SELECT chunk_id, doc_chunk_index, topic, section, content,
+              concat_ws(e'\\n', 'source: ' || source, 'relative_path: ' || relative_path, 'doc_id: ' || doc_id, 'H2: ' || h2,
+                        'H3: ' || h3) || e'\\n\\n' || content AS embed_text,
+              '{{"source":' || to_json(source) || ',"relative_path":' || to_json(relative_path) || ',"doc_id":' || to_json(doc_id)
+                || coalesce(',"H2":' || to_json(h2), '') || coalesce(',"H3":' || to_json(h3), '')
+                || ',"document_id":' || to_json(doc_id) || ',"chunk_index":"' || doc_chunk_index || '","chunk_id":'
+                || to_json(chunk_id) || ',"topic":' || to_json(topic) || ',"section":' || to_json(section) || '}}' AS chunk_metadata
+            FROM chunks_named""",
+        "ingest_whole_sections": f"""WITH {_DOC_SECTIONS}, {_CHUNKS},
+            rows AS (
+              SELECT source, row_number() OVER (PARTITION BY source ORDER BY doc_id, doc_chunk_index) - 1 AS chunk_index,
+                     {_hash('content')} AS content_hash, count(*) OVER (PARTITION BY source) AS n_nodes FROM chunks_named)
+            SELECT sha256(source || '|' || content_hash) AS id, sha256(source) AS document_id, source, chunk_index, content_hash,
+                   '{{"n_nodes":' || n_nodes || '}}' AS doc_metadata, {DIM} AS dim
+            FROM rows QUALIFY row_number() OVER (PARTITION BY source, content_hash ORDER BY chunk_index) = 1""",
+        "v3_all_cells": f"""WITH {_LABEL_HITS} SELECT query_id, query_text, 'hnsw_ef16_k{K}' AS run_name, 16 AS param_value,
+            rank, dist, chunk_id, chunk_text FROM lhits""",
         "c10_embedding_text": f"""WITH {_ALL_SECTIONS} SELECT doc_id, block, section_no,
             concat_ws(e'\\n', 'source: ' || source, 'doc_id: ' || doc_id, 'H2: ' || h2, 'H3: ' || h3) || e'\\n\\n' || section_text
               AS embed_text FROM sections""",

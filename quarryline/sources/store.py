@@ -18,6 +18,8 @@ from pyspark.sql import types as T
 
 from quarryline import schemas
 from quarryline.operators.integrity import add_content_hash, checked_embedding, drop_duplicates
+from quarryline.operators.scale import small_join
+from quarryline.session import stage
 
 _PLACE = [T.StructField("source", T.StringType()), T.StructField("version", T.LongType())]
 
@@ -55,7 +57,7 @@ def publish(
 ) -> DataFrame:
     """Replace everything stored for ``sources`` by ``chunks``; returns (document_id, source, n_chunks).
 
-    ``chunks`` has source, chunk_index, content, embedding and chunk_metadata. Repeated content of a source is stored
+    ``chunks`` has source, chunk_index, content, embedding, chunk_metadata and, if known, content_hash. Repeated content of a source is stored
     once (lowest chunk_index); ``n_nodes`` in the document metadata and ``n_chunks`` count before that. A chunk
     without a proper embedding fails the write, and nothing becomes visible. ``counts`` (source, n_chunks) says that
     the chunks are already de-duplicated and how many there were before; it saves a shuffle of all vectors.
@@ -67,7 +69,7 @@ def publish(
     # Clock-based, so that files left by a publish that failed before its manifest row never share a version.
     version = F.lit(max(newest + 1, time.time_ns() // 1000)).cast("bigint")
     now = F.lit(datetime.now(timezone.utc))
-    sources = sources.select("source").distinct()
+    sources = stage(sources.select("source").distinct())
 
     nodes = chunks.groupBy("source").agg(F.count("*").alias("n_chunks")) if counts is None else counts
     documents = sources.join(nodes, "source", "left").select(
@@ -87,7 +89,9 @@ def publish(
     documents.write.mode("append").partitionBy("source", "version").parquet(f"{root}/documents")
 
     # Chunks of a source that is not being replaced stay out, as they would have no document row.
-    rows = add_content_hash(chunks.join(sources, "source", "left_semi")).select(
+    ours = small_join(chunks, sources, ["source"], "left_semi", spread="chunk_index")
+    hashed = ours if "content_hash" in ours.columns else add_content_hash(ours)
+    rows = hashed.select(
         F.sha2(F.concat_ws("|", "source", "content_hash"), 256).alias("id"),
         F.sha2("source", 256).alias("document_id"),
         F.col("chunk_index").cast("bigint").alias("chunk_index"),
@@ -100,8 +104,9 @@ def publish(
         version.alias("version"),
     )
     kept = drop_duplicates(rows, nulls=False) if counts is None else rows
-    # Files of even size whatever a source holds: small sources share a task, a large one is split over many.
-    kept = kept.hint("rebalance", F.col("source"))
+    if sources.limit(2).count() > 1:
+        # Files of even size whatever a source holds: small sources share a task, a large one is split over many.
+        kept = kept.hint("rebalance", F.col("source"))
     kept.write.mode("append").partitionBy("source", "version").parquet(f"{root}/chunks")
 
     log = sources.select("source", version.alias("version"), F.lit(root).alias("folder"))
