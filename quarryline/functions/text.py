@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 # Characters that count as whitespace, line ends, and the patterns built on them. Ranges are spelled out
 # because Java's Unicode class mode is several times slower and does not cover 1C to 1F.
-_BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0 " + "".join(map(chr, range(0x2000, 0x200B)))
-_BLANKS += "    　"
-WHITESPACE = r"[\t-\r\x1c-\x20\x85\xa0  -     　]"
-LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]"
+_BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+WHITESPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 RULE_LINE = rf"(?dm)^-{{30,}}{WHITESPACE}*$"
 TOPIC_LINE = rf"^{WHITESPACE}*###{WHITESPACE}+(.+?){WHITESPACE}*$"
 NOT_A_WORD = r"[^\p{L}\p{N}]+"
