@@ -155,13 +155,24 @@ def recursive_pieces_of_each(texts: Column, size: int, overlap: int, separators:
 
 
 def character_windows(df: DataFrame, text: str, size: int, overlap: int) -> DataFrame:
-    """Fixed character windows: adds ``piece_no`` and ``piece`` for each row."""
+    """Fixed character windows: adds ``piece_no`` and ``piece`` in place of the text.
+
+    The text is cut once into steps and a window joins the few steps it covers, which is linear in the text; taking
+    substrings of the whole text would walk it from the start for every window.
+    """
     starts = X.window_starts(F.length(text), size, overlap)
-    at = df.withColumn("_start", F.explode_outer(starts))
-    return at.select(
-        *df.columns,
-        (F.col("_start") / (size - overlap)).cast("int").alias("piece_no"),
-        F.substring(F.col(text), F.col("_start") + 1, F.lit(size)).alias("piece"),
+    step = size - overlap
+    steps = F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{1,{step}}}"), F.lit(0))
+    others = [c for c in df.columns if c != text]
+    cut = df.select(*others, starts.alias("_starts"), steps.alias("_steps"))
+    covered = -(-size // step)
+
+    def window(start: Column) -> Column:
+        first = (start / step).cast("int") + 1
+        return F.substring(F.array_join(F.slice("_steps", first, F.lit(covered)), ""), 1, size)
+
+    return cut.select(*others, F.posexplode_outer(F.transform("_starts", window)).alias("piece_no", "piece")).where(
+        F.col("piece_no").isNotNull()
     )
 
 

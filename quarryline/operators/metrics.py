@@ -53,7 +53,7 @@ def query_scores(hits: DataFrame, k: int, keys: Sequence[str] = QUERY, rank_col:
     """
     keys = list(keys)
     distinct = _distinct_hits(hits.dropna(subset=keys), keys, rank_col)
-    top = top_k(distinct, keys, _rank_order(), k, "position")
+    top = top_k(distinct, keys, _rank_order(), k, "position", spread="chunk_id")
     relevant = (F.col("relevance") > RELEVANT_ABOVE).cast("int")
     so_far = Window.partitionBy(*keys).orderBy("position").rowsBetween(Window.unboundedPreceding, 0)
     top = top.withColumn("relevant", relevant).withColumn("found", F.sum("relevant").over(so_far))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarryline.functions.text import tokens
-from quarryline.operators.scale import top_k
+from quarryline.operators.scale import small_join, top_k
 
 Scorer = Callable[[Column, Column], Column]
 
@@ -28,7 +28,8 @@ def rerank(hits: DataFrame, scorer: Scorer = term_coverage, k: int = 10) -> Data
     """
     first = F.struct(F.col("rank").isNull(), F.col("rank"), F.col("chunk_id"))
     asked = hits.groupBy("query_id").agg(F.min_by("query_text", first).alias("_asked"))
-    scored = hits.join(asked, "query_id").withColumn("rerank_score", scorer(F.col("_asked"), F.col("chunk_text")))
+    named = small_join(hits, asked, ["query_id"], spread="chunk_id")
+    scored = named.withColumn("rerank_score", scorer(F.col("_asked"), F.col("chunk_text")))
     order = [F.desc(F.round("rerank_score", 9)), F.asc_nulls_last("rank"), F.col("chunk_id")]
     return top_k(scored.drop("_asked"), ["query_id"], order, k, "rank_reranked", spread="chunk_id")
 

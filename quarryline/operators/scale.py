@@ -47,10 +47,12 @@ def top_k(
 ) -> DataFrame:
     """The first ``k`` rows of each key, numbered from 1.
 
-    ``row_number() <= k`` is planned as a group limit that already runs in the map tasks. With ``spread`` a
-    first round per (key, hash bucket of that column) bounds what the last round reads to ``buckets * k`` rows.
+    Up to the planner's threshold for ``k``, ``row_number() <= k`` becomes a group limit that already runs in the map
+    tasks, so a hot key sends ``k`` rows per task. Beyond it, a first round per (key, hash bucket of ``spread``) bounds
+    what the last round reads to ``buckets * k`` rows.
     """
-    if spread is not None:
+    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+    if spread is not None and k > limit:
         salt = F.pmod(F.xxhash64(spread), F.lit(buckets))
         salted = df.withColumn("_salt", salt)
         first = Window.partitionBy(*keys, "_salt").orderBy(*order)

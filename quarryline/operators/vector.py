@@ -219,7 +219,7 @@ def _search(chunks: DataFrame, queries: DataFrame, k: int, query_bytes: int | No
     bound = BROADCAST_BYTES if query_bytes is None else query_bytes
     size = measure(queries)[1]
     partial = _scan(chunks, queries, k) if size <= bound else _blocks(chunks, queries, k, bound, size)
-    return top_k(partial, ["query_id", "param_value"], [F.col("dist"), F.col("chunk_id")], k)
+    return top_k(partial, ["query_id", "param_value"], [F.col("dist"), F.col("chunk_id")], k, spread="chunk_id")
 
 
 def _as_hits(found: DataFrame, run_name: Column) -> DataFrame:
@@ -263,7 +263,8 @@ class CellIndex:
     def write(self, folder: str) -> None:
         """Keep the index as files; a search then reads only the folders of the cells it looks into."""
         spark = self.chunks.sparkSession
-        self.chunks.write.mode("overwrite").partitionBy("cell").parquet(f"{folder}/chunks")
+        even = self.chunks.hint("rebalance", F.col("cell"))  # splits the files of a cell that holds much of the table
+        even.write.mode("overwrite").partitionBy("cell").parquet(f"{folder}/chunks")
         rows = [(i, [float(x) for x in c]) for i, c in enumerate(self.centroids)]
         centroids = spark.createDataFrame(rows, "cell int, centroid array<double>")
         centroids.write.mode("overwrite").parquet(f"{folder}/centroids")

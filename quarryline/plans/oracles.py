@@ -230,8 +230,8 @@ def _rounded_means(decimals: int, prefix: str = "") -> str:
 
 
 _CHUNK_TABLE = f"""chunk_table AS (
-  SELECT d.doc_id::VARCHAR AS id, source AS document_id, n_chars::INT AS chunk_index, text AS content,
-         CASE WHEN l.doc_id IS NOT NULL THEN {_hash('text')} END AS content_hash,
+  SELECT d.doc_id::VARCHAR AS id, lang AS document_id, n_chars::INT AS chunk_index, text AS content,
+         CASE WHEN l.doc_id IS NULL THEN {_hash('text')} END AS content_hash,
          CASE WHEN lang <> 'de' THEN [1.0] END AS embedding
   FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id)"""
 _TYPED = """typed AS (
@@ -378,7 +378,7 @@ run_labelled AS (
             QUALIFY content_hash IS NULL
               OR row_number() OVER (PARTITION BY document_id, content_hash ORDER BY chunk_index, id) = 1""",
         "h4_integrity_report": f"""WITH {_CHUNK_TABLE},
-            owners AS (SELECT DISTINCT source AS id FROM documents JOIN labels USING (doc_id) WHERE toxic = 1)
+            owners AS (SELECT DISTINCT lang AS id FROM documents WHERE lang <> 'fr')
             SELECT 'null' AS check_name, 'embedding' AS key, count(*) AS n FROM chunk_table WHERE embedding IS NULL HAVING count(*) > 0
             UNION ALL SELECT 'repeated_index', document_id || '|' || chunk_index, count(*) FROM chunk_table
               GROUP BY document_id, chunk_index HAVING count(*) > 1

@@ -110,8 +110,16 @@ def test_character_windows(spark):
         assert len(rows) == pieces
     rows = C.character_windows(spark.createDataFrame([("0123456789",)], "t string"), "t", 5, 2).orderBy("piece_no")
     assert [r["piece"] for r in rows.collect()] == ["01234", "34567", "6789"]
+    rng = random.Random(5)
+    for _ in range(8):
+        text = "".join(rng.choices("a\n\U0001f600é", k=rng.randint(0, 60)))
+        size = rng.randint(1, 12)
+        overlap = rng.randint(0, size - 1)
+        found = C.character_windows(spark.createDataFrame([(text,)], "t string"), "t", size, overlap).orderBy("piece_no")
+        starts = range(0, max(len(text) - overlap, 1), size - overlap)
+        assert [r["piece"] for r in found.collect()] == [text[i : i + size] for i in starts]
     with pytest.raises(ValueError):
-        C.character_windows(rows, "t", 5, 5)
+        C.character_windows(spark.createDataFrame([("x",)], "t string"), "t", 5, 5)
 
 
 def test_word_windows(spark):

@@ -47,12 +47,18 @@ def test_first_per_key_ignores_input_order(spark):
         assert {r["key"]: (r["size"], r["id"]) for r in found.collect()} == best
 
 
-def test_top_k_with_and_without_spreading(spark):
+def test_top_k_beyond_the_group_limit(spark):
     df, _ = _skewed(spark)
     order = [F.desc("size"), F.col("id")]
-    plain = scale.top_k(df, ["key"], order, 5).collect()
-    spread = scale.top_k(df, ["key"], order, 5, spread="id", buckets=3).collect()
-    assert sorted(map(str, plain)) == sorted(map(str, spread))
+    plain = scale.top_k(df, ["key"], order, 5, spread="id")
+    assert "WindowGroupLimit" in plain._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "4")
+    try:
+        spread = scale.top_k(df, ["key"], order, 5, spread="id", buckets=3)
+        assert "_salt" in spread._jdf.queryExecution().analyzed().toString()
+        assert sorted(map(str, plain.collect())) == sorted(map(str, spread.collect()))
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
 
 
 def test_small_join_beyond_the_bound_gives_the_same_rows(spark):
