@@ -27,8 +27,9 @@ def main() -> None:
     spark = local_session(int(os.environ.get("BENCH_CPUS", "8")))
     spark.sparkContext.setLogLevel("ERROR")
     known = catalog.queries()
-    # Start the Python workers and load the tables' footers outside the clock.
-    known["e1_model_embedding"](spark, sf).write.format("noop").mode("overwrite").save()
+    # Start the Python workers and compile the common code outside the clock: it happens once per session.
+    for name in ("e1_model_embedding", "v8_rerank"):
+        known[name](spark, sf).write.format("noop").mode("overwrite").save()
     seconds: dict[str, float] = {}
     for name in names:
         start = time.perf_counter()

@@ -312,7 +312,9 @@ run_labelled AS (
     rewritten = r"""versions AS (
   SELECT 'unparsed' AS run, 'bench_' || item_id AS query_id, text FROM benchmark
   UNION ALL SELECT 'parsed', 'bench_' || item_id, regexp_replace(text, '[.,]', '', 'g') FROM benchmark
-  UNION ALL SELECT 'improved', 'bench_' || item_id, list_extract(string_split(text, '. '), -1) FROM benchmark)"""
+  UNION ALL SELECT 'improved', 'bench_' || item_id, list_extract(string_split(text, '. '), -1) FROM benchmark
+  UNION ALL SELECT 'augmented', 'bench_' || item_id, concat_ws(' ', b.text, chunk_text)
+    FROM benchmark b LEFT JOIN khits k ON k.query_id = 'bench_' || item_id AND k.rank = 1)"""
     sql = {
         "s1_load_corpus": "SELECT source AS folder, TRUE AS named, sha256(text) AS text_hash FROM documents",
         "s2_read_queries": """SELECT 'q' || item_id AS id, 'usage' AS category, CAST(length(text) AS INTEGER) AS difficulty,
@@ -459,10 +461,10 @@ run_labelled AS (
             FROM judged_answers""",
         "q4_substitute": """SELECT 'bench_' || item_id AS query_id, 'refined: ' || text AS query_text,
             CAST(length(text) AS INTEGER) AS difficulty FROM benchmark""",
-        "q5_rewrite_experiment": f"""WITH {_DOC_VECTORS}, {rewritten},
+        "q5_rewrite_experiment": f"""WITH {_DOC_VECTORS}, {_KEYWORD_HITS}, {rewritten},
             {_weights('q', "run || chr(31) || query_id", 'text', 'versions')}, {_dense('q')}, {_DOC_CHUNKS},
             asked AS (SELECT run, query_id, v FROM versions JOIN q_v ON q_v.k = run || chr(31) || query_id),
-            {_nearest('vhits', 'asked', 'chunks', 'run, query_id')}, {_KEYWORD_HITS}, {_TRUTH},
+            {_nearest('vhits', 'asked', 'chunks', 'run, query_id')}, {_TRUTH},
             run_labelled AS (
               SELECT run, r.query_id, r.chunk_id, r.rank, coalesce(t.relevance, 0) AS relevance
               FROM vhits r LEFT JOIN truth t ON t.query_id = r.query_id AND t.chunk_id = r.chunk_id),
