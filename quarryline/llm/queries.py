@@ -6,18 +6,45 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarryline.llm import bpe
+from quarryline.llm import bpe, licenses, packing, quality, repair, secrets, toxicity
 from quarryline.llm.rows import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 
 
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    return repair.round_trip(documents(spark, sf), bpe.public_file(WORD_BPE))
+
+
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf)
+    return secrets.scan(docs, secrets.train(docs))
+
+
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf))
+
+
 def op7(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.digests(documents(spark, sf), bpe.public_file(BYTE_BPE))
 
 
-QUERIES: dict[str, Query] = {"op7_bpe": op7}
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf)
+    return toxicity.score_documents(docs, toxicity.train(docs, spark.read.parquet(f"{sf}/labels.parquet")))
+
+
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf)
+    return quality.score_documents(docs, quality.train(docs, spark.read.parquet(f"{sf}/labels.parquet")))
+
+
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf), bpe.public_file(BYTE_BPE))
+
+
+QUERIES: dict[str, Query] = {"op1_repair_ids": op1, "op3_secrets": op3, "op5_licenses": op5, "op7_bpe": op7, "op8_toxicity": op8, "op9_quality": op9, "op10_packing": op10}
 
 
 def queries() -> dict[str, Query]:
