@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quarryline.llm import bpe, licenses, packing, quality, repair, secrets, toxicity
+from quarryline.llm import bpe, caps, jaccard, licenses, packing, quality, repair, secrets, topk, toxicity
 from quarryline.llm.rows import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,15 +18,27 @@ def op1(spark: SparkSession, sf: str) -> DataFrame:
     return repair.round_trip(documents(spark, sf), bpe.public_file(WORD_BPE))
 
 
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    return topk.search(spark.read.parquet(f"{sf}/embeddings.parquet"), F.col("vec_id") % 100 == 0)
+
+
 def op3(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf)
     return secrets.scan(docs, secrets.train(docs))
 
 
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.join(documents(spark, sf)).select("doc_id", "class_id", "n_links", "kept")
+
+
 def op5(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.scan(documents(spark, sf))
 
 
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    return caps.near_duplicates(spark.read.parquet(f"{sf}/embeddings.parquet"))
+
+
 def op7(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.digests(documents(spark, sf), bpe.public_file(BYTE_BPE))
 
@@ -44,7 +57,10 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf), bpe.public_file(BYTE_BPE))
 
 
-QUERIES: dict[str, Query] = {"op1_repair_ids": op1, "op3_secrets": op3, "op5_licenses": op5, "op7_bpe": op7, "op8_toxicity": op8, "op9_quality": op9, "op10_packing": op10}
+QUERIES: dict[str, Query] = {
+    "op1_repair_ids": op1, "op2_topk": op2, "op3_secrets": op3, "op4_jaccard_join": op4, "op5_licenses": op5, "op6_caps": op6,
+    "op7_bpe": op7, "op8_toxicity": op8, "op9_quality": op9, "op10_packing": op10,
+}
 
 
 def queries() -> dict[str, Query]:

@@ -141,7 +141,7 @@ def write_ids(docs: DataFrame, path: str, folder: str, end_id: int = 2, shard_to
                 names=["part", "shard", "doc_ids", "token_counts", "symbol_counts", "n_tokens", "terminals", "rules", "rule_lengths", "symbols"],
             )
 
-        for batch in slices(batches, "text", 2 << 20):
+        for batch in slices(batches, "text", 2 * shard_tokens):
             encoded = [x + end for x in tokenizer.encode(batch.column("text").to_pylist())]
             names.append(batch.column("doc_id"))
             held += encoded

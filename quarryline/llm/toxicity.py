@@ -50,7 +50,7 @@ class Toxicity:
         return 1 / (1 + np.exp(-np.clip(level - np.array(self.cuts), -30, 30)))
 
 
-def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], n_words: int, penalty: float = 2.0, steps: int = 400) -> tuple[np.ndarray, np.ndarray]:
+def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], n_words: int, penalty: float = 0.3, steps: int = 500) -> tuple[np.ndarray, np.ndarray]:
     """Weights and cuts from (grade, word numbers, values) by Adam steps on the cumulative-link likelihood."""
     grade = np.array([g for g, _, _ in rows])
     owner = np.repeat(np.arange(len(rows)), [len(w) for _, w, _ in rows])
