@@ -180,29 +180,28 @@ class Bpe:
             self.memo.clear()
         if len(self.word_memo) > MEMO_ENTRIES:
             self.word_memo.clear()
-        parts: list[tuple[int, list[Unit] | bytes]] = []  # text number; units, or ready ids
+        parts: list[tuple[int, list[Unit], list[bytes | None]]] = []  # text number, units, their ids as far as known
         missing: dict[Unit, None] = {}
         know = self.memo.get
         for number, text in enumerate(batch):
             pieces = self.splitter.split(text) if self.splitter and "<|" in text else [text]
             for piece in pieces:
                 if piece in self.special:
-                    parts.append((number, self.special[piece].to_bytes(2, "little")))
+                    parts.append((number, [piece], [self.special[piece].to_bytes(2, "little")]))
                     continue
                 units = self._units(piece)
                 if None in (known := list(map(know, units))):
                     new = [u for u, ids in zip(units, known) if ids is None]
                     if self.spaced and any(map(_hangs, new)):  # such pieces never get into the memo
                         new = units = self._joined(units)
+                        known = [None] * len(units)
                     missing.update(dict.fromkeys(new))
-                    parts.append((number, units))
-                else:
-                    parts.append((number, b"".join(known)))
+                parts.append((number, units, known))
         self._learn([u for u in missing if u not in self.memo])
         out = [b""] * len(batch)
         look = self.memo.__getitem__
-        for number, part in parts:
-            out[number] += part if isinstance(part, bytes) else b"".join(map(look, part))
+        for number, units, known in parts:
+            out[number] += b"".join([look(u) if ids is None else ids for u, ids in zip(units, known)])
         return out
 
     def decode(self, ids: np.ndarray) -> str:

@@ -85,8 +85,8 @@ def scan(docs: DataFrame) -> DataFrame:
         F.min(F.when(whole, F.col("diagonal"))).alias("first"),
         F.max(F.when(whole, F.col("diagonal"))).alias("last"),
     )
-    share = F.least(F.col("votes") / F.col("n_grams"), F.lit(1.0))
-    share = F.when(F.col("exact"), F.when(F.col("places") > 0, 1.0).otherwise(0.0)).otherwise(F.coalesce(share, F.lit(0.0)))
+    share = F.when(F.col("exact"), (F.col("places") > 0).cast("double")).otherwise(F.least(F.col("votes") / F.col("n_grams"), F.lit(1.0)))
+    share = F.when(F.col("template").isNull(), 0.0).otherwise(share)
     based = F.when(F.col("exact") & (F.col("places") > 0), F.col("label"))
     found = F.when(based.isNotNull() | (~F.col("exact") & (share >= COVERAGE)), F.col("label"))
     listed = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ",")

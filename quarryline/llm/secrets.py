@@ -5,8 +5,9 @@ to ``LONGEST`` characters each) make a prefix tree over character classes, whose
 bound finds their next-symbol and stop frequencies compatible. The same is done for other credential-like words, the
 background.
 
-Scoring. Every credential-like word that no detector covers is scored, whole: the log likelihood of the best kind minus
-that of the background. Words of ``MARGIN`` or more become spans of kind ``format``.
+Scoring. Every credential-like word that no detector covers is scored, whole. It becomes a span of kind ``format`` where
+some kind is both as likely per character as all but the least likely ``STRANGE`` of its labelled credentials, and more
+likely than the background by ``MARGIN`` in log likelihood.
 
 A null text is empty; an empty text has no spans. Positions are code points, ends exclusive. Repeated rows give
 repeated results. If nothing is labelled, only detectors act (and they find nothing).
@@ -36,7 +37,7 @@ HINTS = ("passw", "secret", "token", "api")  # every match of ASSIGN has one of
 SAMPLE, LONGEST = 1000, 200
 ALPHA = 0.05  # of the Hoeffding bound
 TRUSTED = 30  # states seen less often are only merged with states of their own depth
-MARGIN = 12.0
+MARGIN, STRANGE = 12.0, 0.01
 
 Span = tuple[int, int, int]  # start, kind number, end
 
@@ -123,21 +124,21 @@ class Automaton:
         kept, seen, at = [0], {0}, 0
         while at < len(kept):
             state = kept[at]
-            for symbol in sorted(self.to[state]):
-                blue = self.to[state][symbol]
-                if blue in seen:
-                    continue
-                trusted = sum(self.count[blue].values()) >= TRUSTED
-                for red in sorted(kept, key=lambda r: (self.depth[r] != self.depth[blue], r)):
-                    same = self.depth[red] == self.depth[blue]
-                    if (same or (trusted and sum(self.count[red].values()) >= TRUSTED)) and self.compatible(red, blue):
-                        self.to[state][symbol] = red
-                        self.fold(red, blue)
-                        break
-                else:
-                    kept.append(blue)
-                    seen.add(blue)
-            at += 1
+            blue, by = next(((t, c) for c, t in sorted(self.to[state].items()) if t not in seen), (None, ""))
+            if blue is None:
+                at += 1
+                continue
+            trusted = sum(self.count[blue].values()) >= TRUSTED
+            for red in sorted(kept, key=lambda r: (self.depth[r] != self.depth[blue], r)):
+                same = self.depth[red] == self.depth[blue]
+                if (same or (trusted and sum(self.count[red].values()) >= TRUSTED)) and self.compatible(red, blue):
+                    self.to[state][by] = red
+                    self.fold(red, blue)
+                    at = min(at, kept.index(red))  # the fold may have given it new states to look at
+                    break
+            else:
+                kept.append(blue)
+                seen.add(blue)
         number = {s: k for k, s in enumerate(kept)}
         out = Automaton()
         out.count = [self.count[s] for s in kept]
@@ -154,7 +155,7 @@ class Automaton:
                 continue
             seen = self.count[state]
             n = sum(seen.values())
-            total += math.log((seen.get(symbol, 0) + 0.05) / (n + 0.6))
+            total += math.log((seen.get(symbol, 0) + 0.001) / (n + 0.012))
             state = self.to[state].get(symbol)
         return total
 
@@ -167,19 +168,30 @@ def learn(words: list[str]) -> Automaton:
 
 
 class Formats:
-    def __init__(self, kinds: list[Automaton], background: Automaton | None) -> None:
-        self.kinds, self.background = kinds, background
-
-    def margin(self, word: str) -> float:
-        if not self.kinds:
-            return -math.inf
-        plain = self.background.log_likelihood(word) if self.background else -math.log(12) * (len(word) + 1)
-        return max(k.log_likelihood(word) for k in self.kinds) - plain
+    def __init__(self, labelled: list[list[str]], plain: list[str]) -> None:
+        self.kinds = []
+        for words in filter(None, labelled):
+            one = learn(words)
+            usual = sorted(one.log_likelihood(w) / (len(w) + 1) for w in words)
+            self.kinds.append((one, usual[int(STRANGE * len(usual))]))
+        self.background = learn(plain) if plain else None
+
+    def likely(self, word: str) -> bool:
+        plain = None
+        for one, least in self.kinds:
+            found = one.log_likelihood(word)
+            if found < least * (len(word) + 1):
+                continue
+            if plain is None:
+                plain = self.background.log_likelihood(word) if self.background else -math.log(12) * (len(word) + 1)
+            if found - plain >= MARGIN:
+                return True
+        return False
 
     def spans(self, text: str) -> tuple[list[Span], list[Span]]:
         """(those of the detectors, all)."""
         base = detect(text)
-        more = [(a, len(KINDS), b) for a, b in others(text, base) if self.margin(text[a:b]) >= MARGIN]
+        more = [(a, len(KINDS), b) for a, b in others(text, base) if self.likely(text[a:b])]
         return base, sorted(base + more)
 
 
@@ -204,7 +216,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Formats:
     first = Window.partitionBy("kind").orderBy(F.xxhash64("value"), "value")
     words = rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= sample).collect()
     kinds = [[r.value for r in words if r.kind == k] for k in range(len(KINDS) + 1)]
-    return Formats([learn(w) for w in kinds[:-1] if w], learn(kinds[-1]) if kinds[-1] else None)
+    return Formats(kinds[:-1], kinds[-1])
 
 
 def _joined(spans: list[Span]) -> str:

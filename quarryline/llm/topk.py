@@ -64,8 +64,11 @@ class Best:
 
     def add(self, ids: np.ndarray, rows: np.ndarray) -> None:
         step = max(self.k, _CELLS // max(len(self.ids), 1))
-        for start in range(0, len(ids), step):
-            self._add(ids[start : start + step], rows[start : start + step])
+        # A few rows come first where there are no scores yet, as bounds have nothing to be compared with till then.
+        first = min(step, 16 * self.k) if self.found.shape[1] < self.k else 0
+        for start, end in [(0, first), *((a, a + step) for a in range(first, len(ids), step))]:
+            if start < min(end, len(ids)):
+                self._add(ids[start:end], rows[start:end])
 
     def _add(self, ids: np.ndarray, rows: np.ndarray) -> None:
         limit = np.full(len(self.ids), -np.inf)

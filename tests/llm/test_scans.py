@@ -56,12 +56,14 @@ def test_secrets(spark):
 
 def test_automata_tell_formats_apart():
     rng = random.Random(1)
-    learned = secrets.learn(["".join(rng.choice(HEX) for _ in range(40)) for _ in range(500)])
-    fits = learned.log_likelihood("".join(rng.choice(HEX) for _ in range(40)))
+    labelled = ["".join(rng.choice(HEX) for _ in range(40)) for _ in range(500)]
+    learned = secrets.learn(labelled)
     assert len(learned.to) < 120
-    assert fits / 41 > -1.0
-    for other in ("".join(rng.choice(HEX) for _ in range(25)), "A" * 40, "ab_cd-ef12" * 4):
-        assert learned.log_likelihood(other) < fits - 5
+    assert learned.log_likelihood("".join(rng.choice(HEX) for _ in range(40))) / 41 > -1.0
+    formats = secrets.Formats([labelled], [])
+    assert sum(formats.likely("".join(rng.choice(HEX) for _ in range(40))) for _ in range(100)) > 90
+    for other in ("".join(rng.choice(HEX) for _ in range(25)), "A" * 40, "ab_cd-ef12" * 4, "".join(rng.choice(HEX) for _ in range(41))):
+        assert not formats.likely(other)
 
 
 def test_redact(spark):
