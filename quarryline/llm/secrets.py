@@ -36,7 +36,6 @@ HINTS = ("passw", "secret", "token", "api")  # every match of ASSIGN has one of
 
 SAMPLE, LONGEST = 1000, 200
 ALPHA = 0.05  # of the Hoeffding bound
-TRUSTED = 30  # states seen less often are only merged with states of their own depth
 MARGIN, STRANGE = 12.0, 0.01
 
 Span = tuple[int, int, int]  # start, kind number, end
@@ -120,7 +119,11 @@ class Automaton:
                     self.to[a][symbol] = below
 
     def infer(self) -> Automaton:
-        """Merge compatible states, nearest to the root first."""
+        """Merge compatible states of equal depth, nearest to the root first.
+
+        States of different depths stay apart: far from the root counts are small, so that nothing would tell them apart,
+        and a format would lose its length.
+        """
         kept, seen, at = [0], {0}, 0
         while at < len(kept):
             state = kept[at]
@@ -128,10 +131,8 @@ class Automaton:
             if blue is None:
                 at += 1
                 continue
-            trusted = sum(self.count[blue].values()) >= TRUSTED
-            for red in sorted(kept, key=lambda r: (self.depth[r] != self.depth[blue], r)):
-                same = self.depth[red] == self.depth[blue]
-                if (same or (trusted and sum(self.count[red].values()) >= TRUSTED)) and self.compatible(red, blue):
+            for red in [r for r in kept if self.depth[r] == self.depth[blue]]:
+                if self.compatible(red, blue):
                     self.to[state][by] = red
                     self.fold(red, blue)
                     at = min(at, kept.index(red))  # the fold may have given it new states to look at
@@ -260,5 +261,5 @@ def redact(docs: DataFrame, formats: Formats, mask: str = "[SECRET]") -> DataFra
 
     name = free_name(docs, "_clean")
     masked = docs.withColumn(name, F.pandas_udf(lambda s: s.map(clean, na_action="ignore"), "string")("text"))
-    new = {"text": F.col(name)} | ({"n_chars": F.when(F.col(name) == F.col("text"), F.col("n_chars")).otherwise(F.length(name).cast(docs.schema["n_chars"].dataType))} if "n_chars" in docs.columns else {})
+    new = {"text": F.col(name)} | ({"n_chars": F.when(F.col(name).eqNullSafe(F.col("text")), F.col("n_chars")).otherwise(F.length(name).cast(docs.schema["n_chars"].dataType))} if "n_chars" in docs.columns else {})
     return masked.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])
