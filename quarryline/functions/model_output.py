@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_NUMBER = r"^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$"
+_NUMBER = r"^(BIGINT|DOUBLE|FLOAT|DECIMAL.*|BOOLEAN)$"
 
 
 def _kind(value: Column) -> Column:
@@ -17,7 +17,7 @@ def parsed_query(raw: Column) -> Column:
 
     The text is parsed inside brackets and must give one element, which rejects anything after the object.
     ``filters`` (string to string) and ``must_not`` (strings) may be missing but not null; ``confidence`` may be
-    missing, null, a number or a numeric string.
+    missing, null, a number, a numeric string or a boolean (1 or 0).
     """
     wrapped = F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]")))
     value = F.try_variant_get(wrapped, "$[0]", "variant")
@@ -30,7 +30,8 @@ def parsed_query(raw: Column) -> Column:
     filters = F.try_variant_get(value, "$.filters", "map<string,variant>")
     must_not = F.try_variant_get(value, "$.must_not", "array<variant>")
     confidence = part("confidence")
-    as_number = F.try_variant_get(value, "$.confidence", "double")
+    as_bool = F.when(_kind(confidence) == "BOOLEAN", F.try_variant_get(value, "$.confidence", "boolean").cast("double"))
+    as_number = F.coalesce(as_bool, F.try_variant_get(value, "$.confidence", "double"))
 
     def all_text(items: Column) -> Column:
         return F.forall(items, lambda item: F.coalesce(_kind(item) == "STRING", F.lit(False)))

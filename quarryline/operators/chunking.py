@@ -1,11 +1,13 @@
 """Structure-aware and fixed-size chunking of documents.
 
-``chunk_corpus`` shuffles the corpus text once, by ``doc_id``; every window and grouping after that has ``doc_id``
-among its keys and reuses that partitioning. A document is one row, so no key is larger than one document.
+``chunk_corpus`` shuffles the corpus text once, by a number of the row; every window and grouping after that has it among
+its keys and reuses that partitioning. No key is larger than one document, and documents that share an id or have none
+stay apart.
 """
 
 from __future__ import annotations
 
+import re
 from collections import deque
 from collections.abc import Sequence
 from functools import reduce
@@ -18,14 +20,15 @@ from pyspark.sql import types as T
 from quarryline.functions import text as X
 
 NO_TOPIC, NO_SECTION = "General", "Overview"  # fixed values
+HEADERS = ("##", "###")  # fixed values, outer and inner
 SEPARATORS = ("\n\n", " ", "")  # fixed values, coarse to fine
 # Metadata keys that are stored but not shown to the embedding model.
 NOT_EMBEDDED = ("topic", "section", "chunk_id", "chunk_index", "document_id")
 
 
-def split_blocks(docs: DataFrame, text: str = "text") -> DataFrame:
+def split_blocks(docs: DataFrame, text: str = "text", rule: str = X.RULE_LINE) -> DataFrame:
     """One row per non-empty block between rule lines (30 or more dashes): adds ``block`` and ``block_text``."""
-    pieces = F.transform(F.split(F.col(text), X.RULE_LINE), X.strip)
+    pieces = F.transform(F.split(F.col(text), rule), X.strip)
     kept = F.filter(pieces, lambda b: b != "")
     others = [c for c in docs.columns if c != text]
     # The outer form keeps Spark from evaluating the split twice just to drop empty arrays.
@@ -33,15 +36,17 @@ def split_blocks(docs: DataFrame, text: str = "text") -> DataFrame:
     return exploded.where(F.col("block").isNotNull())
 
 
-def block_topic(block_text: Column, max_lines: int = 12) -> Column:
+def block_topic(block_text: Column, max_lines: int = 12, topic_line: str = X.TOPIC_LINE) -> Column:
     """Title of the first level-3 header among the first ``max_lines`` non-empty lines."""
     non_empty = F.filter(X.lines(block_text), lambda line: X.strip(line) != "")
-    headers = F.filter(F.slice(non_empty, 1, max_lines), lambda line: line.rlike(X.TOPIC_LINE))
-    title = X.strip(F.regexp_extract(F.get(headers, F.lit(0)), X.TOPIC_LINE, 1))
+    headers = F.filter(F.slice(non_empty, 1, max_lines), lambda line: line.rlike(topic_line))
+    title = X.strip(F.regexp_extract(F.get(headers, F.lit(0)), topic_line, 1))
     return F.coalesce(F.nullif(title, F.lit("")), F.lit(NO_TOPIC))
 
 
-def split_sections(blocks: DataFrame, keys: Sequence[str] = ("doc_id", "block")) -> DataFrame:
+def split_sections(
+    blocks: DataFrame, keys: Sequence[str] = ("doc_id", "block"), headers: tuple[str, str] = HEADERS
+) -> DataFrame:
     """Split blocks at ``##`` and ``###`` headers: adds ``section_no``, ``h2``, ``h3``, ``section_text``.
 
     Header lines are removed and become the path of the text below them; headers inside code fences are text.
@@ -60,10 +65,12 @@ def split_sections(blocks: DataFrame, keys: Sequence[str] = ("doc_id", "block"))
     rows = rows.withColumn("fences", F.sum(col("is_fence").cast("int")).over(so_far))
     # Fenced: after an odd number of fence lines, or a fence line itself.
     rows = rows.withColumn("fenced", ((col("fences") % 2) == 1) | col("is_fence"))
-    level = F.when(col("fenced"), 0).when(line.rlike(r"^###(\s|$)"), 3).when(line.rlike(r"^##(\s|$)"), 2).otherwise(0)
+    marks = "^(?:" + "|".join(re.escape(m) for m in sorted(headers, key=len, reverse=True)) + ")"
+    outer, inner = (rf"^{re.escape(mark)}(\s|$)" for mark in headers)
+    level = F.when(col("fenced"), 0).when(line.rlike(inner), 3).when(line.rlike(outer), 2).otherwise(0)
     rows = rows.withColumn("level", level)
 
-    header = F.struct("line_no", X.strip(F.regexp_replace("line", "^#+", "")).alias("title"))
+    header = F.struct("line_no", X.strip(F.regexp_replace("line", marks, "")).alias("title"))
     paragraph_end = (col("level") > 0) | (~col("fenced") & (line == ""))
     rows = rows.select(
         "*",
@@ -204,13 +211,6 @@ def chunk_name(doc_id: Column, index: Column) -> Column:
     return F.format_string("%s::%05d", F.coalesce(doc_id, F.lit("doc")), index)
 
 
-def number_chunks(pieces: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Number the chunks of each document from 0 and name them; adds ``doc_chunk_index`` and ``chunk_id``."""
-    in_doc = Window.partitionBy("doc_id").orderBy(*order)
-    numbered = pieces.withColumn("doc_chunk_index", F.row_number().over(in_doc) - 1)
-    return numbered.withColumn("chunk_id", chunk_name(F.col("doc_id"), F.col("doc_chunk_index")))
-
-
 def merge_metadata(*layers: Column) -> Column:
     """Merge string maps; a later layer wins. Needs no change of the session's duplicate-key policy."""
 
@@ -272,21 +272,32 @@ def chunk_corpus(
     overlap: int = 300,
     max_topic_lines: int = 12,
     inject_context: bool = True,
+    rule: str = X.RULE_LINE,
+    topic_line: str = X.TOPIC_LINE,
+    headers: tuple[str, str] = HEADERS,
+    separators: Sequence[str] = SEPARATORS,
 ) -> DataFrame:
-    """Blocks, topics, header sections, size split, labels, ids and metadata for (doc_id, source, relative_path, text)."""
-    placed = docs.select("doc_id", "source", "relative_path", "text").repartition("doc_id")
-    blocks = split_blocks(placed).withColumn("topic", block_topic(F.col("block_text"), max_topic_lines))
-    sections = split_sections(blocks)
+    """Blocks, topics, header sections, size split, labels, ids and metadata for (doc_id, source, relative_path, text).
+
+    ``rule`` and ``topic_line`` are patterns of a rule line and of a topic line (its first group is the title),
+    ``headers`` the marks of the outer and the inner header.
+    """
+    # The number is fixed by the shuffle that follows; nothing is grouped by the user's id.
+    numbered = docs.select("doc_id", "source", "relative_path", "text", F.monotonically_increasing_id().alias("_row"))
+    blocks = split_blocks(numbered.repartition("_row"), rule=rule)
+    blocks = blocks.withColumn("topic", block_topic(F.col("block_text"), max_topic_lines, topic_line))
+    sections = split_sections(blocks, ("_row", "block"), headers)
     # One row per document again (it came from one row): the position in its list of pieces numbers the chunks
     # without another shuffle, which a window after the Python step would need.
     part = F.struct("block", "section_no", "topic", "h2", "h3", "section_text")
-    whole = sections.groupBy("doc_id").agg(
+    whole = sections.groupBy("_row").agg(
+        F.first("doc_id").alias("doc_id"),
         F.first("source").alias("source"),
         F.first("relative_path").alias("relative_path"),
         F.array_sort(F.collect_list(part)).alias("parts"),
     )
     texts = F.transform("parts", lambda p: p["section_text"])
-    split = whole.withColumn("pieces", recursive_pieces_of_each(texts, size, overlap))
+    split = whole.withColumn("pieces", recursive_pieces_of_each(texts, size, overlap, separators))
 
     def named(p: Column, pieces: Column) -> Column:
         return F.transform(pieces, lambda x: F.struct(p["topic"].alias("topic"), p["h2"].alias("h2"), p["h3"].alias("h3"), x.alias("piece")))

@@ -20,13 +20,16 @@ Model = Callable[[list[str]], Sequence[Sequence[float]]]
 def embed_with(
     df: DataFrame, text: str, make_model: Callable[[], Model], batch_size: int = 99, out: str = "embedding"
 ) -> DataFrame:
-    """Add ``out`` by calling a user's model on slices of ``batch_size`` texts; the model is built once per task."""
-    schema = T.StructType(df.schema.fields + [T.StructField(out, T.ArrayType(T.FloatType()))])
+    """Add ``out`` by calling a user's model on slices of ``batch_size`` texts; the model is built once per task.
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    Only the text travels to the model; all other columns stay where they are.
+    """
+
+    @F.pandas_udf(T.ArrayType(T.FloatType()))
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = make_model()
-        for frame in frames:
-            texts = frame[text].tolist()
+        for batch in batches:
+            texts = batch.tolist()
             vectors: list[Sequence[float]] = []
             for start in range(0, len(texts), batch_size):
                 part = texts[start : start + batch_size]
@@ -34,9 +37,9 @@ def embed_with(
                 if len(answer) != len(part):
                     raise ValueError(f"the model returned {len(answer)} vectors for {len(part)} texts")
                 vectors.extend(answer)
-            yield frame.assign(**{out: vectors})
+            yield pd.Series(vectors, index=batch.index, dtype=object)
 
-    return df.mapInPandas(run, schema)
+    return df.withColumn(out, run(F.col(text)))
 
 
 def token_bucket(token: Column, dim: int) -> Column:
@@ -45,12 +48,12 @@ def token_bucket(token: Column, dim: int) -> Column:
 
 
 def hash_embed(df: DataFrame, text: str, dim: int = 64, out: str = "embedding") -> DataFrame:
-    """Unit-length token-bucket counts as ``array<float>``; texts without tokens get the zero vector.
+    """Unit-length token-bucket counts as ``array<float>``; texts without tokens (and null texts) get the zero vector.
 
     Row-local and linear in the text: buckets become words of a fixed ``dim``-word vocabulary, which the ML count
     vectoriser turns into a vector. Nothing is shuffled.
     """
-    buckets = F.transform(tokens(F.col(text)), lambda t: token_bucket(t, dim).cast("string"))
+    buckets = F.transform(F.coalesce(tokens(F.col(text)), F.array()), lambda t: token_bucket(t, dim).cast("string"))
     vocabulary = [str(i) for i in range(dim)]
     counter = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="_buckets", outputCol="_counts")
     unit = Normalizer(p=2.0, inputCol="_counts", outputCol="_unit")

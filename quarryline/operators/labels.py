@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarryline.functions.text import gold_query_id, graded_relevance
-from quarryline.operators.integrity import require_unique
 from quarryline.operators.scale import first_per_key
 
 KEYS = ["query_id", "chunk_id"]
@@ -24,19 +23,14 @@ def truth_labels(labelled: DataFrame) -> DataFrame:
     return clean.groupBy(*KEYS).agg(F.max("relevance").alias("relevance"))
 
 
-def require_unique_labels(truth: DataFrame) -> DataFrame:
-    """Repeated keys would multiply hits in the label join."""
-    return require_unique(truth, KEYS)
-
-
 def label_hits(hits: DataFrame, truth: DataFrame) -> DataFrame:
     """Left join on (gold query id, chunk id): adds ``gold_query_id``, ``query_id_truth``, ``relevance`` (0 if unjudged).
 
-    Neither side is hinted: Spark broadcasts the truth when its known size allows, and otherwise splits skewed
+    Repeated truth keys count once, with their highest relevance. Neither side is hinted: Spark broadcasts the truth when its known size allows, and otherwise splits skewed
     partitions of the hits at run time.
     """
-    judged = truth.select(
-        F.col("query_id").alias("query_id_truth"), F.col("chunk_id").alias("_chunk_id"), F.col("relevance").alias("_rel")
+    judged = truth.groupBy(F.col("query_id").alias("query_id_truth"), F.col("chunk_id").alias("_chunk_id")).agg(
+        F.max("relevance").alias("_rel")
     )
     known = hits.drop("relevance").withColumn("gold_query_id", gold_query_id(F.col("query_id")))
     match = (F.col("gold_query_id") == F.col("query_id_truth")) & (F.col("chunk_id") == F.col("_chunk_id"))

@@ -45,8 +45,10 @@ def _gain(relevance: Column, position: Column) -> Column:
     return (F.pow(F.lit(2.0), relevance) - 1) / F.log2(position + 1)
 
 
-def query_scores(hits: DataFrame, k: int, keys: Sequence[str] = QUERY, rank_col: str = "rank") -> DataFrame:
-    """(keys, dcg_value, ndcg_value, precision_at_k, average_precision), one row per query.
+def query_scores(
+    hits: DataFrame, k: int, keys: Sequence[str] = QUERY, rank_col: str = "rank", ideal: bool = True
+) -> DataFrame:
+    """(keys, dcg_value, ndcg_value, precision_at_k, average_precision), one row per query; no ndcg without ``ideal``.
 
     The ideal order is that of the retrieved rows of the query. Precision divides by ``k``; average precision by the
     relevant rows among the first ``k``. Rows without a key are dropped.
@@ -65,6 +67,8 @@ def query_scores(hits: DataFrame, k: int, keys: Sequence[str] = QUERY, rank_col:
         F.when(found > 0, F.try_divide(precision_sum, found)).otherwise(F.lit(0.0)).alias("average_precision"),
     )
 
+    if not ideal:
+        return actual
     # Ideal list: the grades of the query in descending order, so each grade fills a run of positions.
     grades = distinct.groupBy(*keys, "relevance").agg(F.count("*").alias("n"))
     above = Window.partitionBy(*keys).orderBy(F.desc("relevance")).rowsBetween(Window.unboundedPreceding, 0)
@@ -74,16 +78,16 @@ def query_scores(hits: DataFrame, k: int, keys: Sequence[str] = QUERY, rank_col:
         F.sequence(F.col("first"), F.col("last")), F.lit(0.0), lambda acc, i: acc + F.lit(1.0) / F.log2(i + 1)
     )
     run_gain = (F.pow(F.lit(2.0), F.col("relevance")) - 1) * discount
-    ideal = runs.groupBy(*keys).agg(F.sum(run_gain).alias("ideal_dcg"))
+    best = runs.groupBy(*keys).agg(F.sum(run_gain).alias("ideal_dcg"))
 
     ndcg = F.when(F.col("ideal_dcg") > 0, F.try_divide("dcg_value", "ideal_dcg")).otherwise(F.lit(0.0))
-    return actual.join(ideal, keys).select(
+    return actual.join(best, keys).select(
         *keys, "dcg_value", ndcg.alias("ndcg_value"), "precision_at_k", "average_precision"
     )
 
 
 def dcg(hits: DataFrame, k: int, keys: Sequence[str] = QUERY, rank_col: str = "rank") -> DataFrame:
-    return query_scores(hits, k, keys, rank_col).select(*keys, "dcg_value")
+    return query_scores(hits, k, keys, rank_col, ideal=False).select(*keys, "dcg_value")
 
 
 def ndcg(hits: DataFrame, k: int, keys: Sequence[str] = QUERY, rank_col: str = "rank") -> DataFrame:
@@ -91,15 +95,15 @@ def ndcg(hits: DataFrame, k: int, keys: Sequence[str] = QUERY, rank_col: str = "
 
 
 def precision(hits: DataFrame, k: int, keys: Sequence[str] = QUERY, rank_col: str = "rank") -> DataFrame:
-    return query_scores(hits, k, keys, rank_col).select(*keys, "precision_at_k")
+    return query_scores(hits, k, keys, rank_col, ideal=False).select(*keys, "precision_at_k")
 
 
 def average_precision(hits: DataFrame, k: int, keys: Sequence[str] = QUERY, rank_col: str = "rank") -> DataFrame:
-    return query_scores(hits, k, keys, rank_col).select(*keys, "average_precision")
+    return query_scores(hits, k, keys, rank_col, ideal=False).select(*keys, "average_precision")
 
 
 def precision_scores(hits: DataFrame, k: int, keys: Sequence[str] = QUERY, rank_col: str = "rank") -> DataFrame:
-    return query_scores(hits, k, keys, rank_col).select(*keys, "precision_at_k", "average_precision")
+    return query_scores(hits, k, keys, rank_col, ideal=False).select(*keys, "precision_at_k", "average_precision")
 
 
 def summarize(hits: DataFrame, k: int, run_col: str = "run", rank_col: str = "rank") -> DataFrame:

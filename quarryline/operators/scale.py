@@ -16,15 +16,6 @@ ROWS_PER_TASK = 1_000_000
 BROADCAST_BYTES = 64 << 20
 
 
-def fill_cores(df: DataFrame, key: str) -> DataFrame:
-    """Cut a scan that comes in fewer splits than there are cores (one small file, say); larger scans stay as they are.
-
-    Heavy per-row work would otherwise run on one core.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
-
-
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The row of each key that sorts first by ``order`` (ascending, nulls first).
 
@@ -102,14 +93,19 @@ def number_rows(
 
 
 def _bytes_per_row(df: DataFrame) -> Column:
+    """Sum over the rows; maps, structs and arrays of anything but numbers count as long as their JSON text."""
     total = F.lit(16)
     for field in df.schema.fields:
-        if isinstance(field.dataType, T.StringType):
-            total = total + F.coalesce(F.octet_length(field.name), F.lit(0))
-        elif isinstance(field.dataType, T.ArrayType):
-            total = total + F.lit(8) * F.coalesce(F.size(field.name), F.lit(0))
+        kind, column = field.dataType, F.col(f"`{field.name}`")
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            size = F.octet_length(column)
+        elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.NumericType):
+            size = F.lit(8) * F.size(column)
+        elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+            size = F.octet_length(F.to_json(F.struct(column)))
         else:
-            total = total + F.lit(8)
+            size = F.lit(8)
+        total = total + F.greatest(F.coalesce(size, F.lit(0)), F.lit(0))
     return F.sum(total.cast("bigint"))
 
 

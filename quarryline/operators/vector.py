@@ -1,15 +1,15 @@
 """Cosine top-k, exact and approximate, for whole sets of queries.
 
 Chunks are never paired with queries row by row and never shuffled: each task multiplies its Arrow batches with the
-query matrix, keeps its own best ``k`` rows per query, and only those go on to a grouped top-k. The query matrix is
-sent to the tasks while its measured size is below a bound; larger query sets are cut into blocks and meet blocks of
-chunks by key (one shuffle), with the same arithmetic per pair of blocks.
+query matrix and keeps its own best ``k`` rows per query (see ``nearest``). A query set above a bound is cut into
+blocks of queries, and each block scans the chunks once. Ids identify chunks within a source.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -22,29 +22,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarryline.operators.scale import BROADCAST_BYTES, measure, top_k
-
-HITS = T.StructType(
-    [
-        T.StructField("query_id", T.StringType()),
-        T.StructField("query_text", T.StringType()),
-        T.StructField("param_value", T.IntegerType()),
-        T.StructField("dist", T.DoubleType()),
-        T.StructField("chunk_id", T.StringType()),
-        T.StructField("chunk_text", T.StringType()),
-    ]
-)
-_HIT_COLUMNS = HITS.fieldNames()
+from quarryline.operators.integrity import require_unique
+from quarryline.operators.nearest import FOUND, Best, merge, slim, with_texts
+from quarryline.operators.scale import BROADCAST_BYTES, measure
+
 _CELLS_AT_ONCE = 4_000_000  # distances held by a task at a time
-_CHUNKS_PER_BLOCK = 8192
 _DECIMALS = 9  # distances are compared and returned rounded, so that ties do not depend on summation order
 
 
 def _matrix(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """One row per vector. Vectors of different widths are an error; a null component becomes NaN."""
     if isinstance(vectors, pa.ChunkedArray):
         vectors = vectors.combine_chunks()
-    flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(vectors), -1) if len(vectors) else flat.reshape(0, 1)
+    if not len(vectors):
+        return np.zeros((0, 1))
+    width = pc.min_max(pc.list_value_length(vectors)).as_py()
+    if width["min"] != width["max"]:
+        raise ValueError(f"vectors of {width['min']} and of {width['max']} components in one search")
+    return vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(vectors), -1)
 
 
 def _unit(matrix: np.ndarray) -> np.ndarray:
@@ -52,174 +47,96 @@ def _unit(matrix: np.ndarray) -> np.ndarray:
 
 
 def _usable(rows: pa.RecordBatch | pa.Table) -> pa.RecordBatch | pa.Table:
-    """Rows with an embedding that is not all zeros."""
+    """Rows with an embedding that is not all zeros and has no missing or infinite component."""
     rows = rows.filter(pc.is_valid(rows.column("embedding")))
-    return rows.filter(pa.array(_matrix(rows.column("embedding")).any(axis=1))) if rows.num_rows else rows
+    if not rows.num_rows:
+        return rows
+    matrix = _matrix(rows.column("embedding"))
+    return rows.filter(pa.array(matrix.any(axis=1) & np.isfinite(matrix).all(axis=1)))
 
 
 @dataclass(frozen=True)
 class _Queries:
     """Unit query vectors in row order, and per cell the rows that look into it (cell 0 alone: all rows)."""
 
-    names: pd.DataFrame
+    query_id: list[str]
+    param_value: list[int]
     unit: np.ndarray
     rows_of_cell: dict[int, np.ndarray]
 
     @staticmethod
     def of(table: pa.Table) -> _Queries:
         table = _usable(table)
-        cells = table.column("cells").to_pylist()
         rows_of_cell: dict[int, list[int]] = {}
-        for row, row_cells in enumerate(cells):
+        for row, row_cells in enumerate(table.column("cells").to_pylist()):
             for cell in row_cells:
                 rows_of_cell.setdefault(cell, []).append(row)
-        names = table.select(["query_id", "query_text", "param_value"]).to_pandas()
         unit = _unit(_matrix(table.column("embedding")))
-        return _Queries(names, unit, {c: np.asarray(r) for c, r in rows_of_cell.items()})
-
-
-class _Best:
-    """The ``k`` nearest chunks per query seen so far, ordered by (distance, chunk id)."""
-
-    def __init__(self, queries: _Queries, k: int) -> None:
-        self.queries, self.k = queries, k
-        self.limit = np.full(len(queries.names), np.inf)
-        self.rows = pd.DataFrame({"q": [], "dist": [], "chunk_id": [], "chunk_text": []})
-
-    def add(self, batch: pa.RecordBatch | pa.Table) -> None:
-        batch = _usable(batch)
-        if not batch.num_rows:
-            return
-        cells = batch.column("cell").to_numpy(zero_copy_only=False)
-        vectors = _unit(_matrix(batch.column("embedding")))
-        for cell in np.unique(cells):
-            asking = self.queries.rows_of_cell.get(int(cell))
-            if asking is None:
-                continue
-            here = np.flatnonzero(cells == cell)
-            step = max(_CELLS_AT_ONCE // len(asking), 1)
-            for start in range(0, len(here), step):
-                part = here[start : start + step]
-                self._merge(batch, part, asking, vectors[part])
-
-    def _merge(self, batch, part: np.ndarray, asking: np.ndarray, vectors: np.ndarray) -> None:
-        dist = np.round(1.0 - vectors @ self.queries.unit[asking].T, _DECIMALS)
-        limit = self.limit[asking]
-        if len(part) > self.k:
-            limit = np.minimum(limit, np.partition(dist, self.k - 1, axis=0)[self.k - 1])
-        row, col = np.nonzero(dist <= limit)  # equal distances stay in until ids decide
-        if not len(row):
-            return
-        new = pd.DataFrame({"q": asking[col], "dist": dist[row, col], "at": part[row]})
-        ids = batch.column("chunk_id").take(pa.array(new["at"])).to_pandas()
-        new["chunk_id"] = ids.to_numpy()
-        new = self._cut(new)
-        new["chunk_text"] = batch.column("chunk_text").take(pa.array(new["at"])).to_pandas().to_numpy()
-        both = pd.concat([self.rows, new.drop(columns="at")]) if len(self.rows) else new.drop(columns="at")
-        self.rows = self._cut(both)
-        full = self.rows.groupby("q")["dist"].agg(["size", "max"])
-        full = full[full["size"] == self.k]
-        self.limit[full.index.to_numpy(dtype=int)] = full["max"].to_numpy()
-
-    def _cut(self, rows: pd.DataFrame) -> pd.DataFrame:
-        ordered = rows.sort_values(["q", "dist", "chunk_id"])
-        return ordered[ordered.groupby("q").cumcount() < self.k]
-
-    def table(self) -> pa.Table:
-        names = self.queries.names.iloc[self.rows["q"].astype(int)].reset_index(drop=True)
-        hits = pd.concat([names, self.rows.drop(columns="q").reset_index(drop=True)], axis=1)
-        schema = pa.schema(
-            [
-                ("query_id", pa.string()),
-                ("query_text", pa.string()),
-                ("param_value", pa.int32()),
-                ("dist", pa.float64()),
-                ("chunk_id", pa.string()),
-                ("chunk_text", pa.string()),
-            ]
-        )
-        return pa.Table.from_pandas(hits[_HIT_COLUMNS], schema=schema, preserve_index=False)
+        ids, values = (table.column(c).to_pylist() for c in ("query_id", "param_value"))
+        return _Queries(ids, values, unit, {c: np.asarray(r) for c, r in rows_of_cell.items()})
+
+
+def _compare(batch: pa.RecordBatch, queries: _Queries, best: Best) -> None:
+    batch = _usable(batch)
+    if not batch.num_rows:
+        return
+    cells = batch.column("cell").to_numpy(zero_copy_only=False)
+    matrix = _matrix(batch.column("embedding"))
+    if matrix.shape[1] != queries.unit.shape[1]:
+        raise ValueError(f"chunk vectors have {matrix.shape[1]} components, query vectors {queries.unit.shape[1]}")
+    vectors = _unit(matrix)
+    for cell in np.unique(cells):
+        asking = queries.rows_of_cell.get(int(cell))
+        if asking is None:
+            continue
+        here = np.flatnonzero(cells == cell)
+        step = max(_CELLS_AT_ONCE // len(asking), 1)
+        for start in range(0, len(here), step):
+            part = here[start : start + step]
+            dist = np.round(1.0 - vectors[part] @ queries.unit[asking].T, _DECIMALS)
+            at = pa.array(part)
+            best.add(dist, asking, batch.column("chunk_id").take(at), batch.column("source").take(at))
 
 
 def _chunk_side(chunks: DataFrame, source: str | None, cell: Column) -> DataFrame:
     if source is not None:
         chunks = chunks.where(F.col("source") == source)
     # Missing and zero vectors are dropped in the tasks: a filter here would compute lazy embeddings twice.
-    return chunks.select(
-        F.col("chunk_id").cast("string").alias("chunk_id"), "chunk_text", "embedding", cell.alias("cell")
-    )
+    return slim(chunks).select("chunk_id", "source", "embedding", cell.alias("cell"))
 
 
 def _query_side(queries: DataFrame, params: Sequence[int]) -> DataFrame:
     values = F.array(*[F.lit(int(p)) for p in params])
-    return queries.select(
-        F.col("query_id").cast("string").alias("query_id"),
-        F.col("query_text").cast("string").alias("query_text"),
-        F.explode(values).alias("param_value"),
-        "embedding",
-    )
+    return queries.select(F.col("query_id").cast("string").alias("query_id"), F.explode(values).alias("param_value"), "embedding")
 
 
-def _scan(chunks: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """Query matrix in every task; the caller has checked its size. Reads only cells that a query looks into."""
-    spark = chunks.sparkSession
-    table = queries.select("query_id", "query_text", "param_value", "embedding", "cells").toArrow()
-    packed = _Queries.of(table)
+def _scan(chunks: DataFrame, queries: DataFrame, k: int) -> DataFrame | None:
+    """One block of queries, sent to every task; reads only cells that one of them looks into."""
+    packed = _Queries.of(queries.select("query_id", "param_value", "embedding", "cells").toArrow())
     if not packed.rows_of_cell:
-        return spark.createDataFrame([], HITS)
+        return None
     chunks = chunks.where(F.col("cell").isin(list(packed.rows_of_cell)))
-    shared = spark.sparkContext.broadcast((packed.names, packed.unit, packed.rows_of_cell))
+    shared = chunks.sparkSession.sparkContext.broadcast(packed)
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = _Best(_Queries(*shared.value), k)
+        asked = shared.value
+        best = Best(len(asked.query_id), k)
         for batch in batches:
-            best.add(batch)
-        yield from best.table().to_batches()
-
-    return chunks.mapInArrow(nearest, HITS)
-
-
-def _blocks(chunks: DataFrame, queries: DataFrame, k: int, bound: int, query_bytes: int) -> DataFrame:
-    """Blocks of chunks meet blocks of queries by (cell, chunk block, query block).
-
-    Each cell gets as many blocks as its own rows ask for, so a cell that holds much of the table is cut finer.
-    """
-    query_blocks = max(-(-query_bytes // bound), 1)
-    sizes = chunks.groupBy("cell").agg(F.ceil(F.count("*") / _CHUNKS_PER_BLOCK).cast("int").alias("blocks"))
-    sizes = F.broadcast(sizes)  # one row per cell, and the number of cells is fixed when the index is built
-    looking = queries.withColumn("cell", F.explode("cells")).join(sizes, "cell")
-    left = (
-        chunks.join(sizes, "cell")
-        .withColumn("chunk_block", F.pmod(F.xxhash64("chunk_id"), F.col("blocks")).cast("int"))
-        .withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
-        .drop("blocks")
-    )
-    right = (
-        looking.withColumn("query_block", F.pmod(F.xxhash64("query_id", "param_value"), F.lit(query_blocks)).cast("int"))
-        .withColumn("chunk_block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumn("cells", F.array("cell"))
-        .drop("blocks")
-    )
-    keys = ["cell", "chunk_block", "query_block"]
-
-    def nearest(chunk_rows: pa.Table, query_rows: pa.Table) -> pa.Table:
-        if not chunk_rows.num_rows or not query_rows.num_rows:
-            return pa.Table.from_batches([], schema=_Best(_EMPTY, k).table().schema)
-        best = _Best(_Queries.of(query_rows), k)
-        best.add(chunk_rows)
-        return best.table()
-
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(nearest, HITS)
+            _compare(batch, asked, best)
+        yield from best.table(asked.query_id, asked.param_value).to_batches()
 
+    return chunks.mapInArrow(nearest, FOUND)
 
-_EMPTY = _Queries(pd.DataFrame({"query_id": [], "query_text": [], "param_value": []}), np.zeros((0, 1)), {})
 
-
-def _search(chunks: DataFrame, queries: DataFrame, k: int, query_bytes: int | None) -> DataFrame:
+def _search(chunks: DataFrame, texts: DataFrame, queries: DataFrame, asked: DataFrame, k: int, query_bytes: int | None) -> DataFrame:
     bound = BROADCAST_BYTES if query_bytes is None else query_bytes
-    size = measure(queries)[1]
-    partial = _scan(chunks, queries, k) if size <= bound else _blocks(chunks, queries, k, bound, size)
-    return top_k(partial, ["query_id", "param_value"], [F.col("dist"), F.col("chunk_id")], k, spread="chunk_id")
+    rows, size = measure(queries)
+    blocks = max(1, min(-(-size // max(bound, 1)), rows))
+    block = F.pmod(F.xxhash64("query_id", "param_value"), F.lit(blocks))
+    scans = [s for n in range(blocks) if (s := _scan(chunks, queries.where(block == n), k)) is not None]
+    if not scans:
+        scans = [chunks.sparkSession.createDataFrame([], FOUND)]
+    return with_texts(merge(reduce(DataFrame.unionByName, scans), k), texts, asked).withColumnRenamed("cost", "dist")
 
 
 def _as_hits(found: DataFrame, run_name: Column) -> DataFrame:
@@ -228,15 +145,22 @@ def _as_hits(found: DataFrame, run_name: Column) -> DataFrame:
     )
 
 
+def _texts(chunks: DataFrame, source: str | None) -> DataFrame:
+    names = ["chunk_id", "chunk_text", *(["source"] if "source" in chunks.columns else [])]
+    return chunks.select(*names) if source is None else chunks.where(F.col("source") == source).select(*names)
+
+
 def cosine_top_k(
     chunks: DataFrame, queries: DataFrame, k: int = 15, source: str | None = None, query_bytes: int | None = None
 ) -> DataFrame:
     """Exact search: chunks (chunk_id, chunk_text, embedding[, source]) × queries (query_id, query_text, embedding).
 
-    Distance is ``1 - cosine``, ties go to the lower chunk id, zero vectors never match.
+    Distance is ``1 - cosine``, ties go to the lower chunk id, zero vectors and those with a missing component never
+    match. Vectors of different widths and repeated query ids are errors.
     """
+    require_unique(queries, ["query_id"])
     side = _query_side(queries, [k]).withColumn("cells", F.array(F.lit(0)))
-    found = _search(_chunk_side(chunks, source, F.lit(0)), side, k, query_bytes)
+    found = _search(_chunk_side(chunks, source, F.lit(0)), _texts(chunks, source), side, queries, k, query_bytes)
     return _as_hits(found, F.format_string("exact_k%d", F.lit(k)))
 
 
@@ -275,31 +199,43 @@ class CellIndex:
         return CellIndex(spark.read.parquet(f"{folder}/chunks"), np.array([r.centroid for r in rows]))
 
 
-def build_cells(chunks: DataFrame, cells: int, seed: int = 0, training_rows: int = 1_000_000) -> CellIndex:
-    """K-means cells over unit vectors. Above ``training_rows`` the centroids (only they) are fitted on a sample."""
-    vectors = chunks.where(F.col("embedding").isNotNull()).withColumn("_vector", array_to_vector("embedding"))
-    rows = Normalizer(p=2.0, inputCol="_vector", outputCol="_unit").transform(vectors).drop("_vector")
-    n = chunks.count()
-    training = rows.select("_unit")
-    if n > training_rows:
-        training = training.sample(fraction=training_rows / n, seed=seed)
-    model = KMeans(k=cells, seed=seed, featuresCol="_unit", predictionCol="cell").fit(training)
-    placed = model.transform(rows).drop("_unit")
-    return CellIndex(placed, np.array(model.clusterCenters()))
+def build_cells(chunks: DataFrame, cells: int | None = None, seed: int = 0, centroids: np.ndarray | None = None) -> CellIndex:
+    """Cells around ``centroids``, or around ``cells`` k-means centres of all usable unit vectors."""
+    if centroids is None:
+        usable = F.exists("embedding", lambda x: x != 0) & F.forall("embedding", lambda x: x.isNotNull())
+        vectors = chunks.where(usable).select(array_to_vector("embedding").alias("_vector"))
+        unit = Normalizer(p=2.0, inputCol="_vector", outputCol="_unit").transform(vectors)
+        centroids = np.array(KMeans(k=cells, seed=seed, featuresCol="_unit").fit(unit).clusterCenters())
+    shared = chunks.sparkSession.sparkContext.broadcast(np.asarray(centroids, dtype=float))
+
+    @F.pandas_udf("int")
+    def nearest(vectors: pd.Series) -> pd.Series:
+        out = pd.Series([None] * len(vectors), dtype="Int32")
+        batch = _usable(pa.RecordBatch.from_arrays([pa.array(vectors, pa.list_(pa.float64())), pa.array(range(len(vectors)))], names=["embedding", "at"]))
+        if batch.num_rows:
+            out.iloc[batch.column("at").to_pylist()] = _away(batch, shared.value).argmin(axis=1)
+        return out
+
+    placed = chunks.withColumn("cell", nearest("embedding")).where(F.col("cell").isNotNull())
+    return CellIndex(placed, np.asarray(centroids, dtype=float))
+
+
+def _away(batch: pa.RecordBatch, centroids: np.ndarray) -> np.ndarray:
+    """Squared distances of unit vectors to centroids, less one; equal after rounding means the lower number wins."""
+    return np.round((centroids**2).sum(axis=1) - 2.0 * _unit(_matrix(batch.column("embedding"))) @ centroids.T, _DECIMALS)
 
 
 def _nearest_cells(queries: DataFrame, centroids: np.ndarray) -> DataFrame:
     """``cells``: the ``param_value`` nearest cells of each query."""
     schema = T.StructType(queries.schema.fields + [T.StructField("cells", T.ArrayType(T.IntegerType()))])
-    weights = (centroids**2).sum(axis=1)
+    shared = queries.sparkSession.sparkContext.broadcast(centroids)
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = _usable(batch)
             if not batch.num_rows:
                 continue
-            away = weights - 2.0 * _unit(_matrix(batch.column("embedding"))) @ centroids.T
-            order = np.argsort(away, axis=1, kind="stable")
+            order = np.argsort(_away(batch, shared.value), axis=1, kind="stable")
             params = batch.column("param_value").to_pylist()
             cells = pa.array([row[:p].tolist() for row, p in zip(order, params)], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns, cells], names=schema.fieldNames())
@@ -320,8 +256,9 @@ def cell_top_k(
     The source filter acts before the search, so a query gets ``k`` rows whenever its cells hold that many.
     All values share one scan of the chunks.
     """
+    require_unique(queries, ["query_id"])
     side = _nearest_cells(_query_side(queries, probes), index.centroids)
-    found = _search(_chunk_side(index.chunks, source, F.col("cell")), side, k, query_bytes)
+    found = _search(_chunk_side(index.chunks, source, F.col("cell")), _texts(index.chunks, source), side, queries, k, query_bytes)
     return _as_hits(found, _sweep_name(k))
 
 

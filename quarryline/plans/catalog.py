@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,7 +27,7 @@ from quarryline.operators import (
     rewrite,
     vector,
 )
-from quarryline.operators.scale import fill_cores, small_join
+from quarryline.operators.scale import small_join
 from quarryline.plans import ingest
 from quarryline.plans.experiment import rewrite_experiment
 from quarryline.session import shared_folder, stage
@@ -36,6 +37,8 @@ DIM = 64
 K = 15
 CUT = 10
 PARAMS = (50, 100)
+PROBES = (1, 4, 10)
+SOURCE = "src0"
 RULE = "-" * 30
 TEMPLATE = "Return {{JSON}}.\nChunks:\n{retrieved_chunks}\nQuery: '{user_query}'"
 
@@ -58,12 +61,8 @@ def queries() -> dict[str, Query]:
 # --- inputs ---------------------------------------------------------------------------------------------------------
 
 
-_TEXT_KEYS = {"documents": "doc_id", "conversations": "conv_id"}
-
-
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    rows = spark.read.parquet(f"{sf}/{name}.parquet")
-    return fill_cores(rows, _TEXT_KEYS[name]) if name in _TEXT_KEYS else rows
+    return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
 def markdown(title: Column, text: Column) -> Column:
@@ -240,6 +239,23 @@ def s3(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("s3_read_fused")
+def s3_fused(spark: SparkSession, sf: str) -> DataFrame:
+    folder = shared_folder(spark)
+    graded = _turn_hits(spark, sf).select(
+        "query_id", "query_text", "chunk_id", "chunk_text", F.col("dist").alias("score"), "rank", F.lit(" 2 ").alias("relevance")
+    )
+    files.write_result(graded, folder, "csv")
+    return files.read_labelled(spark, folder, "fused")
+
+
+@query("s3_read_truth")
+def s3_truth(spark: SparkSession, sf: str) -> DataFrame:
+    folder = shared_folder(spark)
+    files.write_result(labels.truth_labels(_labelled(spark, sf)), folder, "csv")
+    return files.read_labelled(spark, folder, "truth")
+
+
 @query("s4_export_for_labelling")
 def s4(spark: SparkSession, sf: str) -> DataFrame:
     folder = shared_folder(spark)
@@ -298,6 +314,15 @@ def s7(spark: SparkSession, sf: str) -> DataFrame:
     return snapshot.select("chunk_id", "source", "chunk_text")
 
 
+@query("s7_snapshot_one_source")
+def s7_one(spark: SparkSession, sf: str) -> DataFrame:
+    folder = shared_folder(spark)
+    chunks = _document_chunks(spark, sf)
+    store.publish(chunks, chunks.select("source"), folder, DIM)
+    snapshot = store.search_snapshot(store.read_chunks(spark, folder, SOURCE), store.read_documents(spark, folder, SOURCE), SOURCE)
+    return snapshot.select("chunk_id", "source", "chunk_text")
+
+
 # --- chunking -------------------------------------------------------------------------------------------------------
 
 
@@ -356,8 +381,7 @@ def c7(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("c8_chunk_ids")
 def c8(spark: SparkSession, sf: str) -> DataFrame:
-    numbered = chunking.number_chunks(_sections(spark, sf), ["block", "section_no"])
-    return numbered.select("doc_id", "block", F.col("section_no").cast("int"), "doc_chunk_index", "chunk_id")
+    return chunking.chunk_corpus(corpus(spark, sf), 2000, 300).select("doc_id", "doc_chunk_index", "chunk_id")
 
 
 @query("c9_metadata")
@@ -391,14 +415,6 @@ def c11(spark: SparkSession, sf: str) -> DataFrame:
     return _chunk_columns(chunking.chunk_corpus(corpus(spark, sf), 2000, 300))
 
 
-WHOLE = 1_000_000  # no section is this long, so the size split leaves each in one piece
-
-
-@query("c11_chunk_corpus_whole_sections")
-def c11_whole(spark: SparkSession, sf: str) -> DataFrame:
-    return _chunk_columns(chunking.chunk_corpus(corpus(spark, sf), WHOLE, 0))
-
-
 # --- hashing, duplicates, integrity ---------------------------------------------------------------------------------
 
 
@@ -490,10 +506,28 @@ def v2(spark: SparkSession, sf: str) -> DataFrame:
     return _hit_columns(hits, "dist")
 
 
+@query("v1_cosine_one_source")
+def v1_one(spark: SparkSession, sf: str) -> DataFrame:
+    return _hit_columns(vector.cosine_top_k(embedded_chunks(spark, sf), embedded_queries(spark, sf), K, SOURCE), "dist")
+
+
+def _label_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """Hits in the cells around the mean vectors of the labels, of which there are as many as labels."""
+    asked = label_queries(spark, sf)
+    means = asked.orderBy(F.col("query_text").cast("int")).select("embedding").collect()
+    index = vector.build_cells(vectors(spark, sf), centroids=np.array([r.embedding for r in means]))
+    return vector.cell_top_k(index, asked, PROBES, K)
+
+
 @query("v3_cells_topk")
 def v3(spark: SparkSession, sf: str) -> DataFrame:
-    index = vector.build_cells(vectors(spark, sf), 16)
-    return vector.cell_top_k(index, label_queries(spark, sf), (1, 4, 16), K)
+    return _hit_columns(_label_cells(spark, sf), "dist")
+
+
+@query("v3_recall")
+def v3_recall(spark: SparkSession, sf: str) -> DataFrame:
+    exact = vector.cosine_top_k(vectors(spark, sf), label_queries(spark, sf), K)
+    return _rounded(vector.recall(_label_cells(spark, sf), exact))
 
 
 @query("v3_all_cells")
@@ -518,14 +552,31 @@ def v5(spark: SparkSession, sf: str) -> DataFrame:
     return _hit_columns(keyword_hits(spark, sf), "score")
 
 
-@query("v6_hybrid_search")
-def v6(spark: SparkSession, sf: str) -> DataFrame:
+@query("v5_bm25_one_source")
+def v5_one(spark: SparkSession, sf: str) -> DataFrame:
+    """Statistics of the whole corpus, hits of one source."""
+    chunks, asked = documents_as_chunks(spark, sf), benchmark_queries(spark, sf)
+    hits = keyword.bm25_top_k(keyword.keyword_index(chunks, asked), chunks, asked, K, SOURCE)
+    return _hit_columns(hits, "score")
+
+
+def _hybrid(spark: SparkSession, sf: str, source: str | None) -> DataFrame:
     asked = benchmark_queries(spark, sf)
     index = keyword.keyword_index(documents_as_chunks(spark, sf), asked)
-    hits = fusion.hybrid_search(embedded_chunks(spark, sf), embedded_queries(spark, sf), index, PARAMS, K)
+    hits = fusion.hybrid_search(embedded_chunks(spark, sf), embedded_queries(spark, sf), index, PARAMS, K, source=source)
     return _fused_columns(hits)
 
 
+@query("v6_hybrid_search")
+def v6(spark: SparkSession, sf: str) -> DataFrame:
+    return _hybrid(spark, sf, None)
+
+
+@query("v6_hybrid_one_source")
+def v6_one(spark: SparkSession, sf: str) -> DataFrame:
+    return _hybrid(spark, sf, SOURCE)
+
+
 def _fused_columns(hits: DataFrame) -> DataFrame:
     return hits.select(
         "query_id", "query_text", "chunk_id", "chunk_text", F.round("score", 6).alias("score"), F.col("rank").cast("int")
@@ -557,7 +608,7 @@ def v7(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("v8_rerank")
 def v8(spark: SparkSession, sf: str) -> DataFrame:
-    return rerank.rerank(fused_hits(spark, sf), k=CUT).select(
+    return rerank.rerank(fused_hits(spark, sf), k=CUT, queries=benchmark_queries(spark, sf)).select(
         "query_id", "chunk_id", F.col("rank").cast("int"), F.round("rerank_score", 6).alias("rerank_score"), "rank_reranked"
     )
 
@@ -670,7 +721,7 @@ def _run_summaries(spark: SparkSession, sf: str) -> DataFrame:
     ranked = ("query_id", "chunk_id", "rank")
     runs = [
         hits.select(F.lit(run).alias("run"), *ranked)
-        for run, hits in (("vector", vec), ("bm25", key), ("rrf", fused), ("reranked", rerank.rerank(fused, k=CUT)))
+        for run, hits in (("vector", vec), ("bm25", key), ("rrf", fused), ("reranked", rerank.rerank(fused, k=CUT, queries=benchmark_queries(spark, sf))))
     ]
     stacked = runs[0].unionByName(runs[1]).unionByName(runs[2]).unionByName(runs[3])
     return metrics.summarize(labels.label_hits(stacked, truth), CUT)
@@ -682,6 +733,24 @@ def m8(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.compare_runs(summary).unionByName(metrics.run_delta(summary, "rrf", "vector"))
 
 
+@query("m8_chunker_delta")
+def m8_chunkers(spark: SparkSession, sf: str) -> DataFrame:
+    """The structural chunker minus the fixed one, by vector search; a chunk has the grade of its document."""
+    grade = table(spark, sf, "labels").join(table(spark, sf, "documents").select("doc_id", "source"), "doc_id").select(
+        F.concat(F.col("source"), F.lit("::"), F.col("doc_id").cast("string"), F.lit(".md")).alias("owner"),
+        (F.col("quality") * 2 + (1 - F.col("toxic"))).cast("int").alias("relevance"),
+    )
+    runs = []
+    for run, made in (("custom", chunking.chunk_corpus(corpus(spark, sf), 2000, 300)), ("fixed", chunking.chunk_fixed(corpus(spark, sf)))):
+        chunks = stage(made.select("chunk_id", F.col("content").alias("chunk_text")))
+        hits = vector.cosine_top_k(embedding.hash_embed(chunks, "chunk_text", DIM), embedded_queries(spark, sf), K)
+        owner = F.regexp_replace("chunk_id", r"::\d+$", "")
+        truth = hits.select("query_id", "chunk_id", owner.alias("owner")).join(grade, "owner").select("query_id", "chunk_id", "relevance")
+        runs.append(labels.label_hits(hits, truth).select(F.lit(run).alias("run"), "query_id", "chunk_id", "rank", "relevance"))
+    summary = metrics.summarize(runs[0].unionByName(runs[1]), CUT)
+    return metrics.compare_runs(summary).unionByName(metrics.run_delta(summary, "custom", "fixed"))
+
+
 # --- query rewriting ------------------------------------------------------------------------------------------------
 
 
@@ -704,6 +773,7 @@ def _answers(spark: SparkSession, sf: str) -> DataFrame:
     forms = {
         "plain": text,
         "full": F.concat(F.lit('{"filters":{"p":"x"},"must_not":["y"],"confidence":"0.5",'), inside, F.lit("}")),
+        "boolean": F.concat(F.lit('{"confidence":true,'), inside, F.lit("}")),
         "list_filter": F.concat(F.lit('{"filters":{"p":["x"]},'), inside, F.lit("}")),
         "null_filter": F.concat(F.lit('{"filters":null,'), inside, F.lit("}")),
         "number_in_list": F.concat(F.lit('{"must_not":[1],'), inside, F.lit("}")),
@@ -791,8 +861,3 @@ def _ingested(spark: SparkSession, sf: str, size: int, overlap: int) -> DataFram
 def ingest_corpus(spark: SparkSession, sf: str) -> DataFrame:
     """Chunk, number, de-duplicate, embed, publish and read back the documents as markdown."""
     return _ingested(spark, sf, 2000, 300)
-
-
-@query("ingest_whole_sections")
-def ingest_whole(spark: SparkSession, sf: str) -> DataFrame:
-    return _ingested(spark, sf, WHOLE, 0)

@@ -20,16 +20,25 @@ Step = Callable[[DataFrame], DataFrame]
 def unique_chunks(staged: DataFrame) -> DataFrame:
     """The first chunk of every content per source, with its ``chunk_index`` among all chunks of the source.
 
-    Chunks of a source are numbered from 0 in document order, before duplicates go. A source, or the copies of one
-    content, may be most of the corpus: only document sizes are sorted and summed, and copies are reduced to their
-    first (document, position) in the map tasks. Texts take part in one join, by document and position.
+    Chunks of a source are numbered from 0 in document order, before duplicates go; documents of a source that share an
+    id share their numbers. A source, or the copies of one content, may be most of the corpus: only document sizes are
+    sorted and summed, and copies are reduced to their first (document, position) in the map tasks. Texts take part in
+    one join, by a number of the row (``_chunk``, written with the table so that every reader sees the same).
     """
+    if "_chunk" not in staged.columns:
+        staged = stage(numbered_rows(staged))
     sizes = staged.groupBy("source", "doc_id").agg((F.max("doc_chunk_index") + 1).alias("size"))
-    starts = running_sum(sizes, ["source"], [F.col("doc_id")], F.col("size"), "start").select("doc_id", "start")
-    first = staged.groupBy("source", "content_hash").agg(F.min(F.struct("doc_id", "doc_chunk_index")).alias("at"))
-    places = first.select("at.doc_id", "at.doc_chunk_index").join(starts, "doc_id")
-    indexed = places.select("doc_id", "doc_chunk_index", (F.col("start") + F.col("doc_chunk_index")).alias("chunk_index"))
-    return staged.join(indexed, ["doc_id", "doc_chunk_index"])
+    starts = running_sum(sizes, ["source"], [F.col("doc_id")], F.col("size"), "start")
+    starts = starts.select(F.col("source").alias("_source"), F.col("doc_id").alias("_doc_id"), "start")
+    place = F.min(F.struct("doc_id", "doc_chunk_index", "_chunk")).alias("at")
+    first = staged.groupBy("source", "content_hash").agg(place).select("source", "at.*")
+    owner = F.col("source").eqNullSafe(F.col("_source")) & F.col("doc_id").eqNullSafe(F.col("_doc_id"))
+    indexed = first.join(starts, owner).select("_chunk", (F.col("start") + F.col("doc_chunk_index")).alias("chunk_index"))
+    return staged.join(indexed, "_chunk").drop("_chunk")
+
+
+def numbered_rows(chunks: DataFrame) -> DataFrame:
+    return chunks.withColumn("_chunk", F.monotonically_increasing_id())
 
 
 def ingest(
@@ -48,7 +57,7 @@ def ingest(
     Duplicates go before embedding, which stores the same rows and saves model calls.
     """
     embed = embedder or (lambda df: hash_embed(df, "content", dim))
-    chunks = stage(add_content_hash(chunker(docs)))
+    chunks = stage(numbered_rows(add_content_hash(chunker(docs))))
     counts = chunks.groupBy("source").agg(F.count("*").alias("n_chunks"))
     wanted = docs.select("source") if sources is None else sources
     return publish(embed(unique_chunks(chunks)), wanted, root, dim, title, embedding_model, extra, counts)

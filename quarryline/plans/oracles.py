@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 DIM, K, CUT = 64, 15, 10
+PROBES, SOURCE = (1, 4, 10), "src0"
 _RULE = "-" * 30
 _WORD = r"[^\p{L}\p{N}]+"
 
@@ -90,12 +91,68 @@ labelled AS (
   SELECT *, CASE WHEN coalesce(nullif(h3, ''), nullif(h2, ''), 'Overview') = topic THEN 'Overview'
                  ELSE coalesce(nullif(h3, ''), nullif(h2, ''), 'Overview') END AS section
   FROM sections)"""
+SIZE, OVERLAP = 2000, 300
+
+
+def _packs(name: str, source: str, sep: str) -> str:
+    """Greedy packing of the parts of (k, o1, o2, text) between separators: CTEs ``<name>_w`` (windows) and ``<name>_b`` (parts
+    above the size). A step goes from one full pack to the next; ``s`` is the first part of the pack, ``c`` the next part."""
+    return rf"""{name}_p AS (
+  SELECT k, o1, o2, string_split(text, {sep}) AS parts, list_transform(string_split(text, {sep}), lambda p: length(p)) AS lens FROM {source}),
+{name}_t AS (
+  SELECT p.k, p.o1, p.o2, parts, lens, len(parts) AS n, sums FROM {name}_p p JOIN (
+    SELECT k, o1, o2, list(total ORDER BY i) AS sums FROM (
+      SELECT k, o1, o2, i, coalesce(sum(l + length({sep})) OVER (PARTITION BY k, o1, o2 ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS total
+      FROM (SELECT k, o1, o2, unnest(lens || [0]) AS l, unnest(range(len(lens) + 1)) AS i FROM {name}_p)) GROUP BY k, o1, o2) q
+  ON q.k = p.k AND q.o1 = p.o1 AND q.o2 = p.o2),
+{name}_r AS (
+  SELECT k, o1, o2, 0 AS step, 0::BIGINT AS s, 0::BIGINT AS c, 0::BIGINT AS ws, 0::BIGINT AS we, NULL::BIGINT AS big FROM {name}_t
+  UNION ALL
+  SELECT k, o1, o2, step + 1,
+         CASE WHEN lens[e + 1] > {SIZE} THEN e + 1 ELSE list_filter(range(s, e + 1), lambda x: x = e OR
+           (sums[e + 1] - sums[x + 1] - length({sep}) <= {OVERLAP} AND sums[e + 1] - sums[x + 1] + lens[e + 1] <= {SIZE}))[1] END,
+         e + 1, s, coalesce(e, n), CASE WHEN lens[e + 1] > {SIZE} THEN e END
+  FROM (SELECT r.k, r.o1, r.o2, r.step, r.s, t.n, t.lens, t.sums, list_filter(range(r.c, least(t.n, r.s + {SIZE} + 3)), lambda x:
+          (x > r.s AND t.sums[x + 1] - t.sums[r.s + 1] + t.lens[x + 1] > {SIZE}) OR t.lens[x + 1] > {SIZE})[1] AS e
+        FROM {name}_r r JOIN {name}_t t ON t.k = r.k AND t.o1 = r.o1 AND t.o2 = r.o2 WHERE r.c IS NOT NULL) stepped),
+{name}_w AS (
+  SELECT r.k, r.o1, r.o2, r.step, array_to_string(parts[ws + 1 : we], {sep}) AS text
+  FROM {name}_r r JOIN {name}_t t ON t.k = r.k AND t.o1 = r.o1 AND t.o2 = r.o2 WHERE we > ws),
+{name}_b AS (
+  SELECT r.k, r.o1, r.o2, r.step, parts[big + 1] AS text
+  FROM {name}_r r JOIN {name}_t t ON t.k = r.k AND t.o1 = r.o1 AND t.o2 = r.o2 WHERE big IS NOT NULL)"""
+
+
+def size_split(source: str) -> str:
+    """CTE ``pieces`` (k, piece_no, piece) of ``source`` (k, text): blank lines, then spaces, then characters."""
+    return rf"""long_texts AS (SELECT k, text FROM {source} WHERE length(text) > {SIZE}),
+by_line AS (SELECT k, 0 AS o1, 0 AS o2, text FROM long_texts WHERE contains(text, e'\n\n')),
+{_packs('a', 'by_line', r"e'\n\n'")},
+finer AS (
+  SELECT k, 0 AS o1, text FROM long_texts WHERE NOT contains(text, e'\n\n') UNION ALL SELECT k, step, text FROM a_b),
+by_word AS (SELECT k, o1, 0 AS o2, text FROM finer WHERE contains(text, ' ')),
+{_packs('b', 'by_word', "' '")},
+whole AS (SELECT k, o1, 0 AS o2, text FROM finer WHERE NOT contains(text, ' ') UNION ALL SELECT k, o1, step, text FROM b_b),
+loose AS (
+  SELECT k, 0 AS o1, 0 AS o2, 0 AS o3, text FROM {source} WHERE length(text) <= {SIZE}
+  UNION ALL SELECT k, step, 0, 0, text FROM a_w
+  UNION ALL SELECT k, o1, step, 0, text FROM b_w
+  UNION ALL SELECT k, o1, o2, i + 1, substr(text, i * {SIZE - OVERLAP} + 1, {SIZE})
+    FROM whole, LATERAL (SELECT unnest(range(greatest(1, ceil((length(text) - {OVERLAP}) / {SIZE - OVERLAP}))::BIGINT)) AS i) u),
+stripped AS (SELECT k, o1, o2, o3, {_strip('text')} AS piece FROM loose),
+pieces AS (
+  SELECT k, row_number() OVER (PARTITION BY k ORDER BY o1, o2, o3) - 1 AS piece_no, piece FROM stripped WHERE piece <> '')"""
+
+
 _DOC_SECTIONS = ",\n".join([_CORPUS, _blocks("corpus"), _SECTIONS])
-_CHUNKS = """numbered_chunks AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY block, section_no) - 1 AS INTEGER) AS doc_chunk_index,
+_CHUNKS = f"""section_texts AS (
+  SELECT doc_id || chr(31) || block || chr(31) || section_no AS k, section_text AS text FROM labelled),
+{size_split('section_texts')},
+numbered_chunks AS (
+  SELECT l.*, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY block, section_no, piece_no) - 1 AS INTEGER) AS doc_chunk_index,
          substr(doc_id, length(source) + 3) AS relative_path,
-         'Topic: ' || topic || e'\\nSection: ' || section || e'\\n\\n' || section_text AS content
-  FROM labelled),
+         'Topic: ' || topic || e'\\nSection: ' || section || e'\\n\\n' || piece AS content
+  FROM labelled l JOIN pieces p ON p.k = doc_id || chr(31) || block || chr(31) || section_no),
 chunks_named AS (SELECT *, doc_id || '::' || lpad(doc_chunk_index::VARCHAR, 5, '0') AS chunk_id FROM numbered_chunks)"""
 _ALL_SECTIONS = ",\n".join(
     [_CORPUS, _TURNS, "both_corpora AS (SELECT * FROM corpus UNION ALL SELECT * FROM turns)", _blocks("both_corpora"), _SECTIONS]
@@ -139,6 +196,8 @@ _ASKED = """asked AS (
 _VECTOR_HITS = ",\n".join(
     [_DOC_VECTORS, _QUERY_WEIGHTS, _dense("q"), _DOC_CHUNKS, _ASKED, _nearest("vhits", "asked", "chunks")]
 )
+_SOURCE_HITS = f"""{_VECTOR_HITS},
+of_source AS (SELECT * FROM chunks WHERE source = '{SOURCE}'), {_nearest('vhits_s', 'asked', 'of_source')}"""
 
 _LABEL_HITS = f"""means AS (
   SELECT label, i, round(avg(embedding[i]::DOUBLE), 6) AS m
@@ -148,6 +207,24 @@ label_asked AS (
 vecs AS (SELECT vec_id::VARCHAR AS chunk_id, label::VARCHAR AS chunk_text, embedding::DOUBLE[] AS v FROM embeddings),
 {_nearest('lhits', 'label_asked', 'vecs')}"""
 
+_UNIT = "list_transform(v, lambda x: x / sqrt(list_inner_product(v, v)))"
+_CELL_HITS = f"""{_LABEL_HITS},
+centres AS (SELECT query_text::INT AS cell, v AS m FROM label_asked),
+chunk_cells AS (
+  SELECT chunk_id, cell FROM (SELECT chunk_id, {_UNIT} AS u FROM vecs), centres
+  QUALIFY row_number() OVER (PARTITION BY chunk_id ORDER BY round(list_inner_product(m, m) - 2 * list_inner_product(u, m), 9), cell) = 1),
+query_cells AS (
+  SELECT query_id, cell, row_number() OVER (PARTITION BY query_id
+           ORDER BY round(list_inner_product(m, m) - 2 * list_inner_product(u, m), 9), cell) AS nth
+  FROM (SELECT query_id, {_UNIT} AS u FROM label_asked), centres),
+cell_hits AS (
+  SELECT query_id, query_text, 'hnsw_ef' || p || '_k{K}' AS run_name, p AS param_value,
+         CAST(row_number() OVER (PARTITION BY query_id, p ORDER BY dist, chunk_id) AS INTEGER) AS rank, round(dist, 6) AS dist, chunk_id, chunk_text
+  FROM (SELECT q.query_id, q.query_text, p, c.chunk_id, c.chunk_text, round(list_cosine_distance(q.v, c.v), 9) AS dist
+        FROM label_asked q JOIN query_cells n ON n.query_id = q.query_id JOIN (SELECT unnest({list(PROBES)}) AS p) ON n.nth <= p
+             JOIN chunk_cells b ON b.cell = n.cell JOIN vecs c ON c.chunk_id = b.chunk_id)
+  QUALIFY row_number() OVER (PARTITION BY query_id, p ORDER BY dist, chunk_id) <= {K})"""
+
 _POSTINGS = f"""toks AS (SELECT doc_id::VARCHAR AS chunk_id, {_tokens('text')} AS ts FROM documents),
 postings AS (
   SELECT chunk_id, token, count(*) AS tf, any_value(dl) AS dl
@@ -166,6 +243,14 @@ khits AS (
        JOIN benchmark b ON 'bench_' || b.item_id = query_id JOIN documents d ON d.doc_id::VARCHAR = chunk_id
   WHERE rank <= {K})"""
 
+_SOURCE_KEYWORD_HITS = f"""{_KEYWORD_HITS},
+khits_s AS (
+  SELECT query_id, b.text AS query_text, CAST(rank AS INTEGER) AS rank, score, chunk_id, s.text AS chunk_text
+  FROM (SELECT s.*, d.text, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS rank
+        FROM scores s JOIN documents d ON d.doc_id::VARCHAR = chunk_id WHERE d.source = '{SOURCE}') s
+       JOIN benchmark b ON 'bench_' || b.item_id = query_id
+  WHERE rank <= {K})"""
+
 
 def _fused(name: str, parts: str) -> str:
     """``parts``: (query_id, query_text, chunk_id, chunk_text, part)."""
@@ -263,6 +348,7 @@ answers AS (
   SELECT turn_id, text, 'plain' AS form, plain AS raw FROM inner_part
   UNION ALL SELECT turn_id, text, 'full',
     '{"filters":{"p":"x"},"must_not":["y"],"confidence":"0.5",' || inside || '}' FROM inner_part
+  UNION ALL SELECT turn_id, text, 'boolean', '{"confidence":true,' || inside || '}' FROM inner_part
   UNION ALL SELECT turn_id, text, 'list_filter', '{"filters":{"p":["x"]},' || inside || '}' FROM inner_part
   UNION ALL SELECT turn_id, text, 'null_filter', '{"filters":null,' || inside || '}' FROM inner_part
   UNION ALL SELECT turn_id, text, 'number_in_list', '{"must_not":[1],' || inside || '}' FROM inner_part
@@ -280,7 +366,7 @@ judged_answers AS (
     AND (json_type(j, '$.must_not') IS NULL
          OR (json_type(j, '$.must_not') = 'ARRAY'
              AND len(list_filter(json_extract(j, '$.must_not[*]'), lambda x: json_type(x) <> 'VARCHAR')) = 0))
-    AND (json_extract_string(j, '$.confidence') IS NULL
+    AND (json_extract_string(j, '$.confidence') IS NULL OR json_type(j, '$.confidence') = 'BOOLEAN'
          OR TRY_CAST(json_extract_string(j, '$.confidence') AS DOUBLE) IS NOT NULL), FALSE) AS valid
   FROM parsed)"""
 
@@ -321,6 +407,9 @@ run_labelled AS (
             text, 0 AS n_tags FROM benchmark""",
         "s3_read_labelled": f"""SELECT query_id, query_text, rank, dist, chunk_id, chunk_text, rank || '.7' AS relevance
             FROM ({_TURN_HITS})""",
+        "s3_read_fused": f"""SELECT query_id, query_text, chunk_id, chunk_text, dist AS score, rank, ' 2 ' AS relevance
+            FROM ({_TURN_HITS})""",
+        "s3_read_truth": _TYPED_TRUTH,
         "s4_export_for_labelling": f"""SELECT query_id, run_name, param_value, rank, chunk_id, chunk_text, '' AS relevance
             FROM ({_TURN_HITS})""",
         "s5_result_sink": _TYPED_TRUTH,
@@ -329,6 +418,8 @@ run_labelled AS (
                    'second' AS title, '{{"kind":"prose","n_nodes":' || n_nodes || '}}' AS doc_metadata, {DIM} AS dim
             FROM kept""",
         "s7_snapshot": f"WITH {_PUBLISHED} SELECT id AS chunk_id, source, content AS chunk_text FROM kept",
+        "s7_snapshot_one_source": f"""WITH {_PUBLISHED} SELECT id AS chunk_id, source, content AS chunk_text FROM kept
+            WHERE source = '{SOURCE}'""",
         "c1_blocks": f"WITH {_CORPUS}, {_blocks('corpus')} SELECT doc_id, block, block_text FROM blocks",
         "c2_block_topic": f"""WITH {_CORPUS}, {_TURNS},
             both_corpora AS (SELECT * FROM corpus UNION ALL SELECT * FROM turns), {_blocks('both_corpora')}
@@ -345,15 +436,13 @@ run_labelled AS (
         "c6_section_label": f"WITH {_ALL_SECTIONS} SELECT doc_id, block, section_no, section FROM labelled",
         "c7_context_injection": f"""WITH {_ALL_SECTIONS} SELECT doc_id, block, section_no,
             'Topic: ' || topic || e'\\nSection: ' || section || e'\\n\\n' || section_text AS content FROM labelled""",
-        "c8_chunk_ids": f"""WITH {_ALL_SECTIONS},
-            positions AS (SELECT *, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY block, section_no) - 1 AS INTEGER)
-                            AS doc_chunk_index FROM sections)
-            SELECT doc_id, block, section_no, doc_chunk_index, doc_id || '::' || lpad(doc_chunk_index::VARCHAR, 5, '0') AS chunk_id
-            FROM positions""",
+        "c8_chunk_ids": f"""WITH RECURSIVE {_DOC_SECTIONS}, {_CHUNKS} SELECT doc_id, doc_chunk_index, chunk_id FROM chunks_named""",
+        "c4_recursive_split": f"""WITH RECURSIVE {_CORPUS}, texts AS (SELECT doc_id AS k, text FROM corpus), {size_split('texts')}
+            SELECT doc_id, CAST(piece_no AS INTEGER) AS piece_no, piece FROM corpus LEFT JOIN pieces ON k = doc_id""",
         "c9_metadata": f"""WITH {_ALL_SECTIONS} SELECT doc_id, section_no, source AS meta_source,
             coalesce(h2, 'from document') AS meta_h2, h3 AS meta_h3, topic AS meta_topic, block::VARCHAR AS meta_block,
             CAST(4 + (h3 IS NOT NULL)::INT AS INTEGER) AS n_keys FROM sections""",
-        "c11_chunk_corpus_whole_sections": f"""WITH {_DOC_SECTIONS}, {_CHUNKS}
+        "c11_chunk_corpus": f"""WITH RECURSIVE {_DOC_SECTIONS}, {_CHUNKS}
             SELECT chunk_id, doc_chunk_index, topic, section, content,
               concat_ws(e'\\n', 'source: ' || source, 'relative_path: ' || relative_path, 'doc_id: ' || doc_id, 'H2: ' || h2,
                         'H3: ' || h3) || e'\\n\\n' || content AS embed_text,
@@ -362,7 +451,7 @@ run_labelled AS (
                 || ',"document_id":' || to_json(doc_id) || ',"chunk_index":"' || doc_chunk_index || '","chunk_id":'
                 || to_json(chunk_id) || ',"topic":' || to_json(topic) || ',"section":' || to_json(section) || '}}' AS chunk_metadata
             FROM chunks_named""",
-        "ingest_whole_sections": f"""WITH {_DOC_SECTIONS}, {_CHUNKS},
+        "ingest_corpus": f"""WITH RECURSIVE {_DOC_SECTIONS}, {_CHUNKS},
             rows AS (
               SELECT source, row_number() OVER (PARTITION BY source ORDER BY doc_id, doc_chunk_index) - 1 AS chunk_index,
                      {_hash('content')} AS content_hash, count(*) OVER (PARTITION BY source) AS n_nodes FROM chunks_named)
@@ -397,12 +486,23 @@ run_labelled AS (
             SELECT k AS query_id, CAST(bucket AS INTEGER) AS bucket, round(weight::DOUBLE, 6) AS weight FROM q_w""",
         "v1_cosine_topk": f"""WITH {_VECTOR_HITS} SELECT query_id, query_text, 'exact_k{K}' AS run_name, {K} AS param_value,
             rank, dist, chunk_id, chunk_text FROM vhits""",
+        "v1_cosine_one_source": f"""WITH {_SOURCE_HITS} SELECT query_id, query_text, 'exact_k{K}' AS run_name, {K} AS param_value,
+            rank, dist, chunk_id, chunk_text FROM vhits_s""",
+        "v3_cells_topk": f"WITH {_CELL_HITS} SELECT * FROM cell_hits",
+        "v3_recall": f"""WITH {_CELL_HITS} SELECT run_name, param_value,
+            round(sum((l.chunk_id IS NOT NULL)::INT) / (SELECT count(*) FROM lhits), 6) AS recall
+            FROM cell_hits h LEFT JOIN lhits l ON l.query_id = h.query_id AND l.chunk_id = h.chunk_id GROUP BY run_name, param_value""",
         "v2_parameter_sweep": f"""WITH {_VECTOR_HITS} SELECT query_id, query_text, 'hnsw_ef' || ef || '_k{K}' AS run_name,
             ef AS param_value, rank, dist, chunk_id, chunk_text FROM vhits, (VALUES (50), (100)) p(ef)""",
         "v4_postings": f"""WITH {_POSTINGS} SELECT chunk_id, token, tf, dl, df, n_chunks, round(avg_dl, 6) AS avg_dl
             FROM postings JOIN token_df USING (token), totals""",
         "v5_bm25_topk": f"""WITH {_KEYWORD_HITS} SELECT query_id, query_text, 'bm25' AS run_name, {K} AS param_value, rank,
             score, chunk_id, chunk_text FROM khits""",
+        "v5_bm25_one_source": f"""WITH {_SOURCE_KEYWORD_HITS} SELECT query_id, query_text, 'bm25' AS run_name, {K} AS param_value, rank,
+            score, chunk_id, chunk_text FROM khits_s""",
+        "v6_hybrid_one_source": f"""WITH {_SOURCE_HITS}, {_SOURCE_KEYWORD_HITS},
+            {_fused('hybrid', f"{_part('vhits_s', 0.5, 2)} UNION ALL {_part('khits_s', 0.5)}")}
+            SELECT query_id, query_text, chunk_id, chunk_text, round(score, 6) AS score, rank FROM hybrid""",
         "v6_hybrid_search": f"""WITH {_VECTOR_HITS}, {_KEYWORD_HITS},
             {_fused('hybrid', f"{_part('vhits', 0.5, 2)} UNION ALL {_part('khits', 0.5)}")}
             SELECT query_id, query_text, chunk_id, chunk_text, round(score, 6) AS score, rank FROM hybrid""",
@@ -448,12 +548,35 @@ run_labelled AS (
             SELECT run, {_rounded_means(4)} FROM summary
             UNION ALL SELECT 'rrf - vector', {', '.join(f'round(a.{m} - b.{m}, 4)' for m in ('p_at_k', 'map_at_k', 'ndcg_at_k', 'dcg_at_k'))}
             FROM summary a, summary b WHERE a.run = 'rrf' AND b.run = 'vector'""",
+        "m8_chunker_delta": f"""WITH RECURSIVE {_DOC_SECTIONS}, {_CHUNKS},
+            fixed_words AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '') AS w FROM corpus),
+            both_chunks AS (
+              SELECT 'custom' AS run, chunk_id, doc_id, content FROM chunks_named
+              UNION ALL SELECT 'fixed', doc_id || '::' || lpad(i::VARCHAR, 5, '0'), doc_id, array_to_string(w[i * 420 + 1 : i * 420 + 500], ' ')
+              FROM fixed_words, LATERAL (SELECT unnest(range(greatest(1, ceil((len(w) - 80) / 420))::BIGINT)) AS i) u WHERE len(w) > 0),
+            {_weights('d', "run || chr(31) || chunk_id", 'content', 'both_chunks')}, {_dense('d')},
+            {_QUERY_WEIGHTS}, {_dense('q')}, {_ASKED},
+            asked_twice AS (SELECT r.run, a.query_id, a.v FROM asked a, (VALUES ('custom'), ('fixed')) r(run)),
+            both_hits AS (
+              SELECT q.run, q.query_id, c.chunk_id, c.doc_id, round(list_cosine_distance(q.v, d_v.v), 9) AS dist
+              FROM asked_twice q JOIN both_chunks c ON c.run = q.run JOIN d_v ON d_v.k = c.run || chr(31) || c.chunk_id),
+            run_labelled AS (
+              SELECT h.run, h.query_id, h.chunk_id, row_number() OVER (PARTITION BY h.run, h.query_id ORDER BY dist, h.chunk_id) AS rank,
+                     coalesce(l.quality * 2 + (1 - l.toxic), 0) AS relevance
+              FROM both_hits h LEFT JOIN (SELECT source || '::' || d.doc_id || '.md' AS owner, quality, toxic
+                                          FROM labels JOIN documents d ON d.doc_id = labels.doc_id) l ON l.owner = h.doc_id
+              QUALIFY row_number() OVER (PARTITION BY h.run, h.query_id ORDER BY dist, h.chunk_id) <= {K}),
+            {_scores('run_labelled', 'run, query_id')}, summary AS (SELECT run, {_MEANS} FROM qs GROUP BY run)
+            SELECT run, {_rounded_means(4)} FROM summary
+            UNION ALL SELECT 'custom - fixed', {', '.join(f'round(a.{m} - b.{m}, 4)' for m in ('p_at_k', 'map_at_k', 'ndcg_at_k', 'dcg_at_k'))}
+            FROM summary a, summary b WHERE a.run = 'custom' AND b.run = 'fixed'""",
         "q1_prompts": _prompt_sql(),
         "q2_validate_output": f"""WITH {_ANSWERS}
             SELECT turn_id, form, valid, CASE WHEN valid THEN j->>'$.refined_query' END AS refined_query,
                    CASE WHEN valid THEN CAST(coalesce(len(json_keys(j, '$.filters')), 0) AS INTEGER) END AS n_filters,
                    CASE WHEN valid THEN CAST(coalesce(json_array_length(j, '$.must_not'), 0) AS INTEGER) END AS n_must_not,
-                   CASE WHEN valid THEN TRY_CAST(j->>'$.confidence' AS DOUBLE) END AS confidence
+                   CASE WHEN valid AND json_type(j, '$.confidence') = 'BOOLEAN' THEN (j->>'$.confidence')::BOOLEAN::INT::DOUBLE
+                        WHEN valid THEN TRY_CAST(j->>'$.confidence' AS DOUBLE) END AS confidence
             FROM judged_answers""",
         "q3_attempts": f"""WITH {_ANSWERS}
             SELECT turn_id, form, CASE WHEN valid THEN 1 WHEN form <> 'prose' THEN 2 ELSE 0 END AS attempt,

@@ -10,8 +10,6 @@ def _struct(**fields: T.DataType) -> T.StructType:
 _S, _I, _D, _TS = T.StringType(), T.IntegerType(), T.DoubleType(), T.TimestampType()
 _STRINGS = T.ArrayType(_S)
 
-CORPUS = _struct(doc_id=_S, source=_S, relative_path=_S, text=_S)
-
 QUERY = _struct(
     id=_S, category=_S, difficulty=_I, text=_S, tags=_STRINGS, atoms_required=_STRINGS, gold_id=_S, challenge=_S
 )
@@ -25,6 +23,11 @@ KEYWORD_HIT = _struct(
 )
 LABELLED_VECTOR_HIT = T.StructType(VECTOR_HIT.fields + [T.StructField("relevance", _S)])
 LABELLED_KEYWORD_HIT = T.StructType(KEYWORD_HIT.fields + [T.StructField("relevance", _S)])
+FUSED_HIT = _struct(query_id=_S, query_text=_S, chunk_id=_S, chunk_text=_S, score=_D, rank=_I)
+LABELLED_FUSED_HIT = T.StructType(FUSED_HIT.fields + [T.StructField("relevance", _S)])
+RERANKED_HIT = T.StructType(
+    LABELLED_FUSED_HIT.fields + [T.StructField("rerank_score", _D), T.StructField("rank_reranked", _I)]
+)
 TRUTH = _struct(query_id=_S, chunk_id=_S, relevance=_I)
 
 DOCUMENTS = _struct(id=_S, title=_S, doc_metadata=_S, embedding_model=_S, created_at=_TS)
@@ -41,6 +44,8 @@ CHUNKS = _struct(
 # One appended row per published source; the highest version is the current one.
 MANIFEST = _struct(source=_S, version=T.LongType(), folder=_S)
 
-PARSED_QUERY = _struct(
-    refined_query=_S, filters=T.MapType(_S, _S), must_not=_STRINGS, confidence=_D
-)
+# Layouts of labelled CSV files, by name.
+LABELLED = {
+    "vector": LABELLED_VECTOR_HIT, "keyword": LABELLED_KEYWORD_HIT, "fused": LABELLED_FUSED_HIT, "reranked": RERANKED_HIT,
+    "truth": TRUTH,
+}

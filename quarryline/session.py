@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,14 +25,55 @@ def local_session(cores: int = 8, memory: str = "8g") -> SparkSession:
     )
 
 
+_SHARED_BY_ALL = "local"  # masters whose executors run on the driver's machine begin like this
+_staged: list[tuple[SparkSession, str]] = []
+
+
+def _file_system(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def check_shared(scheme: str, master: str, folder: str) -> None:
+    """On a cluster a folder of the local file system is another one on every machine, and results would be incomplete."""
+    if scheme == "file" and not master.startswith(_SHARED_BY_ALL):
+        raise ValueError(f"{folder} is on the local file system; executors of {master} do not share it")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A fresh folder below ``spark.checkpoint.dir``; a temporary one only for a local session without it."""
     root = spark.conf.get("spark.checkpoint.dir", None)
+    master = spark.sparkContext.master
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not master.startswith(_SHARED_BY_ALL):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         root = tempfile.mkdtemp(prefix="quarryline-")
-    return f"{root.rstrip('/')}/quarryline-{uuid.uuid4().hex}"
+    check_shared(_file_system(spark, root)[1].getUri().getScheme(), master, root)
+    folder = f"{root.rstrip('/')}/quarryline-{uuid.uuid4().hex}"
+    _staged.append((spark, folder))
+    return folder
+
+
+def drop_staged(since: int = 0) -> None:
+    """Delete the folders handed out after the first ``since``; runs by itself when the process ends."""
+    while len(_staged) > since:
+        spark, folder = _staged.pop()
+        with contextlib.suppress(Exception):  # the session may be gone, and what it left is not worth a failure
+            path, system = _file_system(spark, folder)
+            system.delete(path, True)
+
+
+atexit.register(drop_staged)
+
+
+@contextlib.contextmanager
+def scratch() -> Iterator[None]:
+    """Folders that are staged inside the block are deleted at its end; read results before."""
+    since = len(_staged)
+    try:
+        yield
+    finally:
+        drop_staged(since)
 
 
 def stage(df: DataFrame) -> DataFrame:

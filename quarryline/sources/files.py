@@ -65,10 +65,13 @@ def export_for_labelling(hits: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").options(**_CSV, emptyValue="").csv(path)
 
 
-def read_labelled(spark: SparkSession, path: str, keyword: bool = False) -> DataFrame:
-    """Labelled hits; ``relevance`` stays text until ``truth_labels`` cleans it."""
-    schema = schemas.LABELLED_KEYWORD_HIT if keyword else schemas.LABELLED_VECTOR_HIT
-    return spark.read.schema(schema).options(**_CSV, multiLine=True).csv(path)
+def read_labelled(spark: SparkSession, path: str, layout: str = "vector") -> DataFrame:
+    """A labelled CSV: ``vector``, ``keyword``, ``fused`` or ``reranked`` hits, or ``truth`` (see ``schemas.LABELLED``).
+
+    ``relevance`` of hits stays text until ``truth_labels`` cleans it. A file whose header has other columns, or the
+    same in another order, fails the job that reads it.
+    """
+    return spark.read.schema(schemas.LABELLED[layout]).options(**_CSV, multiLine=True, enforceSchema=False).csv(path)
 
 
 def write_result(table: DataFrame, path: str, form: str = "parquet") -> None:

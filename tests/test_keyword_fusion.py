@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from quarryline.operators import fusion, keyword, rerank
+from quarryline.operators import fusion, keyword, nearest, rerank
 
 
 def _tables(spark, chunks, queries):
@@ -61,18 +61,37 @@ def test_equals_brute_force(spark, source, limit, restricted):
     assert {(r["query_id"], r["rank"]): (r["chunk_id"], r["score"]) for r in rows} == _brute_force(chunks, queries, 9, source)
 
 
-def test_saved_index_is_searched_without_moving_postings(spark):
+def test_saved_index(spark):
     chunks, queries = _tables(spark, [("d1", "cat dog", "s"), ("d2", "cat cat fish", "s")], [("q", "cat fish")])
     name = f"kw_{uuid.uuid4().hex[:8]}"
-    keyword.keyword_index(chunks).save(name, buckets=4)
+    keyword.keyword_index(chunks).save(name)
     hits = keyword.bm25_top_k(keyword.KeywordIndex.load(spark, name), chunks, queries)
     assert [r["chunk_id"] for r in hits.orderBy("rank").collect()] == ["d2", "d1"]
-    plan = hits._jdf.queryExecution().executedPlan().toString()
-    assert not re.search(r"Exchange hashpartitioning\((query_id#\d+, chunk_id|chunk_id)", plan)
-    for part in ("postings", "df", "totals"):
+    for part in ("entries", "df", "totals"):
         spark.sql(f"DROP TABLE {name}_{part}")
 
 
+def test_tasks_return_at_most_k_rows_per_query(spark, monkeypatch):
+    """Every chunk matches every query, yet a task lets ``k`` rows per query out, in batches of any size."""
+    monkeypatch.setattr(keyword, "_CELLS_AT_ONCE", 12)
+    chunks, queries = _tables(spark, [(f"c{i:03d}", f"the w{i % 7} the", "s") for i in range(200)], [(f"q{i}", f"the w{i}") for i in range(4)])
+    sent = []
+    monkeypatch.setattr(keyword, "merge", lambda partial, k: (sent.append(partial.count()), merge(partial, k))[1])
+    merge = nearest.merge
+    rows = keyword.bm25_top_k(keyword.keyword_index(chunks.repartition(3)), chunks, queries, 5).collect()
+    assert 20 <= sent[0] <= 3 * 4 * 5 and len(rows) == 20
+
+
+def test_ids_name_chunks_within_a_source(spark):
+    chunks, queries = _tables(spark, [("a", "cat", "s"), ("a", "cat dog", "t"), ("b", "bird", "s")], [("q", "cat")])
+    index = keyword.keyword_index(chunks)
+    rows = keyword.bm25_top_k(index, chunks, queries).collect()
+    assert sorted((r["rank"], r["chunk_text"]) for r in rows) == [(1, "cat"), (2, "cat dog")] and all(r["score"] > 0 for r in rows)
+    assert [r["chunk_text"] for r in keyword.bm25_top_k(index, chunks, queries, source="t").collect()] == ["cat dog"]
+    with pytest.raises(ValueError):
+        keyword.bm25_top_k(index, chunks, queries.union(queries))
+
+
 KEYS = "query_id string, query_text string, chunk_id string, chunk_text string"
 
 

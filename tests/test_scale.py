@@ -75,3 +75,5 @@ def test_measure_counts_text_and_arrays(spark):
     df = spark.createDataFrame([("abc", [1.0, 2.0]), (None, None)], "t string, v array<double>")
     rows, size = scale.measure(df)
     assert rows == 2 and 32 + 3 + 16 <= size <= 32 + 3 + 32
+    nested = spark.createDataFrame([(["x" * 10_000], {"k": "y" * 10_000})], "a array<string>, m map<string,string>")
+    assert scale.measure(nested)[1] > 20_000

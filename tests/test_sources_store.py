@@ -40,12 +40,12 @@ def test_labelling_round_trip(spark, tmp_path):
     names = "query_id string, query_text string, run_name string, param_value int, rank int, score double, chunk_id string, chunk_text string"
     hits = spark.createDataFrame([hit], names)
     files.export_for_labelling(hits, str(tmp_path / "out"))
-    row = files.read_labelled(spark, str(tmp_path / "out"), keyword=True).first()
+    row = files.read_labelled(spark, str(tmp_path / "out"), "keyword").first()
     assert tuple(row)[:8] == hit and not row["relevance"]
     text = "".join(p.read_text() for p in (tmp_path / "out").glob("*.csv"))
     assert text.startswith("query_id,query_text,run_name,param_value,rank,score,chunk_id,chunk_text,relevance\n")
     files.export_for_labelling(hits.where("false"), str(tmp_path / "none"))
-    assert files.read_labelled(spark, str(tmp_path / "none"), keyword=True).isEmpty()
+    assert files.read_labelled(spark, str(tmp_path / "none"), "keyword").isEmpty()
 
 
 CHUNK = "source string, chunk_index long, content string, embedding array<double>, chunk_metadata string"

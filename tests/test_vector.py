@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quarryline.operators import vector as V
 
@@ -52,7 +53,6 @@ def test_exact_search_equals_brute_force(spark, parts, query_bytes):
 
 def test_small_blocks_and_slices(spark, monkeypatch):
     monkeypatch.setattr(V, "_CELLS_AT_ONCE", 16)
-    monkeypatch.setattr(V, "_CHUNKS_PER_BLOCK", 20)
     chunks, queries, rows, asked = _tables(spark)
     assert _found(V.cosine_top_k(chunks, queries, 4)) == _brute_force(rows, asked, 4)
     assert _found(V.cosine_top_k(chunks, queries, 4, query_bytes=200)) == _brute_force(rows, asked, 4)
@@ -64,6 +64,29 @@ def test_source_filter(spark):
     assert V.cosine_top_k(chunks, queries, 5, source="none").isEmpty()
 
 
+def test_widths_and_missing_components(spark):
+    chunks, queries, _, _ = _tables(spark)
+    mixed = spark.createDataFrame([("a", "t", [1.0, 2.0]), ("b", "t", [1.0, 2.0, 3.0])], "chunk_id string, chunk_text string, embedding array<double>")
+    for some in (mixed.coalesce(1), mixed.where("chunk_id = 'a'")):
+        with pytest.raises(Exception, match="components"):
+            V.cosine_top_k(some, queries, 3).collect()
+    rows = [("a", "t", [1.0, None]), ("b", "t", [1.0, float("nan")]), ("c", "t", [1.0, 0.5]), ("c", "t", [1.0, 0.5])]
+    odd = spark.createDataFrame(rows, "chunk_id string, chunk_text string, embedding array<double>")
+    asked = spark.createDataFrame([("q", "x", [1.0, 0.0])], "query_id string, query_text string, embedding array<double>")
+    assert {r["chunk_id"] for r in V.cosine_top_k(odd, asked, 3).collect()} == {"c"}
+    with pytest.raises(ValueError):
+        V.cosine_top_k(odd, asked.union(asked), 3)
+
+
+def test_given_centroids(spark):
+    chunks, queries, rows, asked = _tables(spark)
+    index = V.build_cells(chunks, centroids=np.eye(8)[:4])
+    cells = {r["chunk_id"]: r["cell"] for r in index.chunks.collect()}
+    assert set(cells) == {c for c, _, v, _ in rows if v is not None and any(v)}
+    assert all(cells[c] == int(np.argmax(np.array(v)[:4])) for c, _, v, _ in rows if c in cells)
+    assert _found(V.cell_top_k(index, queries, [4], 5)) == _brute_force(rows, asked, 5)
+
+
 def test_no_usable_query(spark):
     chunks, queries, _, _ = _tables(spark)
     assert V.cosine_top_k(chunks, queries.where("query_id = 'zero'"), 5).isEmpty()
@@ -91,5 +114,7 @@ def test_cells(spark, query_bytes, tmp_path):
 def test_only_probed_cells_are_read(spark, tmp_path):
     chunks, queries, _, _ = _tables(spark)
     V.build_cells(chunks, 6).write(str(tmp_path))
-    hits = V.cell_top_k(V.CellIndex.read(spark, str(tmp_path)), queries.limit(1), [1], 5)
-    assert "PartitionFilters: [isnotnull(cell" in hits._jdf.queryExecution().executedPlan().toString()
+    index = V.CellIndex.read(spark, str(tmp_path))
+    asked = V._nearest_cells(V._query_side(queries.limit(1), [1]), index.centroids)
+    scan = V._scan(V._chunk_side(index.chunks, None, F.col("cell")), asked, 5)
+    assert "PartitionFilters: [isnotnull(cell" in scan._jdf.queryExecution().executedPlan().toString()
