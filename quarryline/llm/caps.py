@@ -97,9 +97,6 @@ def near_duplicates(
     reps = stage(items.mapInArrow(decode, f"rep long, copies long, least {kinds['least']}, label {kinds['label']}, raw binary, filters array<long>"))
     keys = F.transform("filters", lambda f: F.xxhash64(f, F.col("label"), F.length("raw")))
 
-    def payload(work: DataFrame) -> DataFrame:
-        return work.join(reps.select("rep", F.col("raw").alias("payload")), "rep")
-
     def close(left: list[bytes], right: list[bytes]) -> np.ndarray:
         size = len(left[0])
         if any(len(x) != size for x in left + right):
@@ -111,7 +108,7 @@ def near_duplicates(
         x, y = (_unit(np.frombuffer(b"".join(s), np.float64).reshape(len(s), -1)) for s in (left, right))
         return x @ y.T >= threshold
 
-    linked = stage(link(reps.select("rep", "copies", keys.alias("keys")), payload, close))
+    linked = stage(link(reps.select("rep", "copies", keys.alias("keys"), F.col("raw").alias("payload")), lambda work: work, close))
     everyone = reps.select("rep", "copies", "least").join(linked, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     first = everyone.groupBy("component").agg(F.min("least").alias("component_id"))
     known = everyone.join(first, "component").select("rep", (F.col("copies") - 1 + F.coalesce("n_links", F.lit(0))).alias("n_links"), "component_id")

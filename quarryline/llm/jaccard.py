@@ -168,10 +168,9 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", trees:
     reps = stage(with_words.groupBy("rep").agg(F.count("*").alias("copies"), F.min(place).alias("best"), F.first("keys").alias("keys")))
 
     def payload(work: DataFrame) -> DataFrame:
-        known = work.join(reps.select("rep", F.col("best.row").alias("row")), "rep")
-        return _sets(known.join(placed.select("row", "text"), "row").drop("row"))
+        return _sets(work.join(placed.select("row", "text"), "row").drop("row"))
 
-    linked = stage(link(reps.select("rep", "copies", "keys"), payload, similar))
+    linked = stage(link(reps.select("rep", "copies", "keys", "best.row"), payload, similar))
     everyone = reps.select("rep", "copies", "best").join(linked, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     best = everyone.groupBy("component").agg(F.min("best").alias("first"))
     known = everyone.join(best, "component").select("rep", "copies", F.coalesce("n_links", F.lit(0)).alias("links"), "first")

@@ -1,9 +1,9 @@
 """From hash keys to verified links, link counts and components, without a row per pair.
 
-Items that share a key are candidates. Candidate items are grouped into candidate components, which are cut into blocks
-of about ``BLOCK`` items; a tile is a pair of blocks that share a key (or a whole small component). An item's payload travels once
-per tile, and a task verifies all pairs of a tile at once. A pair belongs to one tile, so links are counted once.
-What a tile returns is one row per linked item: how many it is linked to, and the smallest item of its local component.
+Items that share a key are candidates. Every item takes the smallest item that it shares a key with as its label; items of one
+label are cut into blocks of about ``BLOCK``, and a tile is a pair of blocks that share a key. An item's payload travels once
+per tile, and a task verifies all pairs of a tile at once. A pair belongs to one tile, so links are counted once. What a
+tile returns is one row per linked item: how many it is linked to, and the smallest item of its local component.
 
 A group of copies of any size is thereby cut into tiles of bounded size that spread over all tasks.
 """
@@ -26,20 +26,20 @@ Verify = Callable[[list[bytes], list[bytes]], np.ndarray]
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) of every id in ``edges`` (a, b): the smallest id reachable. Self-edges and nulls are ignored.
 
-    Alternating large-star and small-star rounds; each is staged, so lineage stays short. Hubs are only ever the key of
-    a partial minimum and one side of a join, which adaptive execution splits.
+    Alternating large-star and small-star rounds until every id has one edge, and that to an id without any. Rounds are
+    staged, so lineage stays short. Hubs are only ever the key of a partial minimum and one side of a join, which adaptive
+    execution splits.
     """
     a, b = F.col("a"), F.col("b")
     now = stage(edges.where(a != b).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct())
-    state = None
     while True:
-        found = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if found == state:
+        repeated = now.groupBy("a").agg(F.count("*").alias("n")).where("n > 1")
+        hubs = now.select(b.alias("key")).distinct()
+        if repeated.isEmpty() and now.join(hubs, a == F.col("key"), "left_semi").isEmpty():
             return now.select(a.alias("id"), b.alias("component"))
-        state = found
         both = now.unionByName(now.select(b.alias("a"), a.alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(a.alias("key"), F.least("a", "m").alias("m"))
-        large = both.where(b > a).join(least, a == F.col("key")).select(b.alias("a"), F.col("m").alias("b")).where(F.col("a") != F.col("b")).distinct()
+        large = both.where(b > a).join(least, a == F.col("key")).select(b.alias("a"), F.col("m").alias("b")).where(a != b)
         large = stage(large)
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         moved = large.join(low.withColumnRenamed("a", "key"), a == F.col("key")).where(b != F.col("m")).select(b.alias("a"), F.col("m").alias("b"))
@@ -47,36 +47,22 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _tiles(shared: DataFrame, block: int) -> DataFrame:
-    """(rep, tiles) from (key, rep): ``tiles`` holds (tile, side) of each tile the item travels to."""
-    least = shared.groupBy("key").agg(F.min("rep").alias("m"))
-    star = shared.join(least, "key").select(F.col("rep").alias("a"), F.col("m").alias("b"))
-    found = components(star).select(F.col("id").alias("rep"), "component")
-    roots = found.select(F.col("component").alias("rep"), "component").distinct()
-    member = stage(found.unionByName(roots))
-    size = member.groupBy("component").agg(F.count("*").alias("size"))
-    sized = member.join(size, "component")
-    one = F.struct(F.xxhash64("component").alias("tile"), F.lit(0).alias("side"))
-    small = sized.where(F.col("size") <= block).select("rep", F.array(one).alias("tiles"))
-
-    large = sized.where(F.col("size") > block)
-    keyed = shared.join(large, "rep").select("rep", "key", "component", "size")
-    home = keyed.groupBy("rep").agg(F.min("key").alias("home"), F.first("component").alias("component"), F.first("size").alias("size"))
-    crowd = home.groupBy("component", "home").agg(F.count("*").alias("crowd"))
-    parts = F.ceil(F.col("size") / block)
-    # Items of one key stay together; a key with more than a block is cut further by the item.
-    spread = F.when(F.col("crowd") <= block, F.pmod(F.xxhash64("home"), parts)).otherwise(
-        F.xxhash64("home", F.pmod(F.xxhash64("rep"), F.ceil(F.col("crowd") / block)))
-    )
-    placed = stage(home.join(crowd, ["component", "home"]).select("rep", F.xxhash64("component", spread).alias("block")))
-    of_key = keyed.join(placed, "rep").select("key", "block").distinct()
+    """(rep, tiles) from (key, rep, least), where ``least`` is the smallest item of the key: ``tiles`` holds (tile, side) of
+    each tile the item travels to."""
+    label = shared.groupBy("rep").agg(F.min("least").alias("label"))
+    size = label.groupBy("label").agg(F.count("*").alias("size"))
+    part = F.pmod(F.xxhash64("rep"), F.ceil(F.col("size") / block))
+    placed = stage(label.join(size, "label").select("rep", F.xxhash64("label", part).alias("block")))
+    of_key = shared.join(placed, "rep").select("key", "block").distinct()
     left, right = of_key.select("key", F.col("block").alias("x")), of_key.select("key", F.col("block").alias("y"))
     met = left.join(right, "key").where(F.col("x") <= F.col("y")).select("x", "y").distinct()
     tile = F.xxhash64("x", "y")
-    sides = met.select(F.col("x").alias("block"), F.struct(tile.alias("tile"), F.lit(0).alias("side")).alias("t")).unionByName(
-        met.where("x <> y").select(F.col("y").alias("block"), F.struct(tile.alias("tile"), F.lit(1).alias("side")).alias("t"))
+    ends = F.when(F.col("x") == F.col("y"), F.array(F.struct(F.col("x").alias("block"), F.lit(0).alias("side")))).otherwise(
+        F.array(F.struct(F.col("x").alias("block"), F.lit(0).alias("side")), F.struct(F.col("y").alias("block"), F.lit(1).alias("side")))
     )
+    sides = met.select(tile.alias("tile"), F.explode(ends).alias("end")).select("end.block", F.struct("tile", F.col("end.side").alias("side")).alias("t"))
     lists = sides.groupBy("block").agg(F.collect_list("t").alias("tiles"))
-    return small.unionByName(placed.join(lists, "block").select("rep", "tiles"))
+    return placed.join(lists, "block").select("rep", "tiles")
 
 
 def _local(linked: np.ndarray) -> np.ndarray:
@@ -93,14 +79,14 @@ def _local(linked: np.ndarray) -> np.ndarray:
 def link(reps: DataFrame, payload: Callable[[DataFrame], DataFrame], verify: Verify, block: int = BLOCK) -> DataFrame:
     """(rep, n_links, component) of every item that is linked to another.
 
-    ``reps`` has (rep long, copies long, keys array<long>), one row per item. ``payload`` takes (rep, copies, tiles) and
-    returns these columns with ``payload`` binary. ``verify`` says which items of two lists of payloads are linked.
+    ``reps`` has (rep long, copies long, keys array<long>), one row per item. ``payload`` takes the rows of candidates, with
+    ``tiles`` in place of the keys, and returns at least (rep, copies, tiles) and ``payload`` binary. ``verify`` says which items of two lists of payloads are linked.
     ``n_links`` counts the partners with their copies.
     """
     keyed = reps.select("rep", F.explode(F.array_distinct("keys")).alias("key"))
-    often = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    often = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("rep").alias("least")).where("n > 1").drop("n")
     shared = stage(keyed.join(often, "key"))
-    work = reps.select("rep", "copies").join(_tiles(shared, block), "rep")
+    work = reps.drop("keys").join(_tiles(shared, block), "rep")
     rows = payload(work).select(F.explode("tiles").alias("t"), "rep", "copies", "payload").select("t.*", "rep", "copies", "payload")
     dealt = rows.repartition("tile").sortWithinPartitions("tile")
 
