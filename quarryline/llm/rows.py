@@ -31,7 +31,7 @@ def bucket_of(key: Column, buckets: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % buckets
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches so that ``column`` (string or binary) holds about ``most`` bytes in each; a longer row stands alone."""
     for batch in batches:
         rows = max(1, most * batch.num_rows // max(batch.column(column).nbytes, 1))
