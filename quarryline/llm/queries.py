@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarryline.llm import bpe, caps, jaccard, licenses, packing, quality, repair, secrets, topk, toxicity
+from quarryline.llm import bpe, caps, jaccard, licenses, oracles, packing, quality, repair, secrets, topk, toxicity
 from quarryline.llm.rows import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,4 +68,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.oracle_sql()
