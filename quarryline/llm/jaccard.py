@@ -6,8 +6,8 @@ its own MinHash signature. Two texts are candidates where they share a prefix in
 ``DEEPEST`` values and is shortened until a pair at the threshold is found with the target recall. Candidates are
 verified exactly on their shingle sets (64-bit hashes), in tiles (see ``links``).
 
-A null text is empty. A text without words has no shingle and is linked to nothing. Rows are told apart by their place in
-the table, so repeated and null ids do no harm; a table must therefore return its rows in the same order each time.
+A null text is empty. A text without words has no shingle and is linked to nothing. Rows are numbered and
+staged once, so repeated and null ids do no harm, and a lost executor cannot change which row is which.
 """
 
 from __future__ import annotations
@@ -154,14 +154,19 @@ def similar(left: list[bytes], right: list[bytes]) -> np.ndarray:
     return np.round(inner).astype(np.int64) * 9 >= sizes * 4
 
 
-def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", trees: int = TREES, recall: float = RECALL) -> DataFrame:
+def join(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", trees: int = TREES, recall: float = RECALL, row_col: str | None = None
+) -> DataFrame:
     """(row, doc_id, class_id, n_links, kept): one row per row of ``docs``.
 
     ``class_id`` is the smallest id of the component of links (of the row itself, where it has none), ``n_links`` counts the
     other rows linked directly, ``kept`` marks one row of each component: the smallest id that is not null, then the
-    first row. ``row`` numbers the rows of ``docs`` (``monotonically_increasing_id``).
+    first row. ``row`` is a number given to the rows of ``docs``, or their ``row_col`` (long, unique, in a stored table).
     """
-    placed = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    row = F.monotonically_increasing_id() if row_col is None else F.col(row_col)
+    placed = docs.select(row.alias("row"), F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    if row_col is None:
+        placed = stage(placed)
     signed = stage(_signed(placed, trees, prefix_length(trees, recall=recall)))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
     with_words = signed.where(F.col("rep").isNotNull())
@@ -186,5 +191,6 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", trees:
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that ``join`` does not keep."""
     name = free_name(docs, "_row")
-    kept = join(docs).where("kept").select(F.col("row").alias(name))
-    return docs.withColumn(name, F.monotonically_increasing_id()).join(kept, name, "left_semi").drop(name)
+    numbered = stage(docs.withColumn(name, F.monotonically_increasing_id()))
+    kept = join(numbered, row_col=name).where("kept").select(F.col("row").alias(name))
+    return numbered.join(kept, name, "left_semi").drop(name)
