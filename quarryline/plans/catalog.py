@@ -532,8 +532,10 @@ def v3_recall(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("v3_all_cells")
 def v3_all(spark: SparkSession, sf: str) -> DataFrame:
-    """Looking into every cell is exact search."""
-    index = vector.build_cells(vectors(spark, sf), 16)
+    """Looking into every cell is exact search; the index is kept as files and read back."""
+    folder = shared_folder(spark)
+    vector.build_cells(vectors(spark, sf), 16).write(folder)
+    index = vector.CellIndex.read(spark, folder)
     return _hit_columns(vector.cell_top_k(index, label_queries(spark, sf), (16,), K), "dist")
 
 

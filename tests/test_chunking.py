@@ -177,3 +177,22 @@ def test_text_rules_match_python(spark):
     lines = rows.select("t", X.lines(F.col("t")).alias("l")).collect()
     for r in lines:
         assert [x for x in r["l"] if x] == [x for x in r["t"].splitlines() if x]
+
+
+def test_documents_without_an_id_or_with_equal_ids_stay_apart(spark):
+    schema = "doc_id string, source string, relative_path string, text string"
+    texts = ["## A\nalpha one\n\nalpha two", "## B\nbeta one\n\nbeta two"]
+    pairs = {"no ids": [(None, "s"), (None, "s")], "two sources": [("d", "s"), ("d", "t")], "one source": [("d", "s"), ("d", "s")]}
+    for ids in pairs.values():
+        docs = spark.createDataFrame([(i, s, "p", t) for (i, s), t in zip(ids, texts)], schema).repartition(2)
+        rows = C.chunk_corpus(docs, inject_context=False).collect()
+        assert sorted((r["doc_id"] or "", r["source"], r["section"], r["content"]) for r in rows) == sorted(
+            (i or "", s, t[3], t[5:]) for (i, s), t in zip(ids, texts)
+        )
+        assert {r["chunk_id"] for r in rows} == {f"{ids[0][0] or 'doc'}::00000"}
+
+
+def test_patterns_and_headers_are_parameters(spark):
+    docs = spark.createDataFrame([("d", "s", "p", "= Top\none\n****\n== Sub\ntwo")], "doc_id string, source string, relative_path string, text string")
+    rows = C.chunk_corpus(docs, inject_context=False, rule=r"(?m)^\*{4}$", topic_line=r"^==\s+(.+)$", headers=("=", "==")).collect()
+    assert sorted((r["topic"], r["section"], r["content"]) for r in rows) == [("General", "Top", "one"), ("Sub", "Overview", "two")]

@@ -115,3 +115,9 @@ def test_summary_and_delta(spark):
     assert [(r["run"], r["p_at_k"], r["dcg_at_k"]) for r in delta] == [("y - x", 0.5, 3.5)]
     assert metrics.run_delta(summary, "y", "absent").isEmpty()
     assert metrics.compare_runs(summary, summary.limit(0)).count() == 2
+
+
+def test_scores_without_the_ideal(spark):
+    rows = spark.createDataFrame([("q", "a", 1, 3), ("q", "b", 2, 0)], HIT)
+    plan = metrics.precision(rows, 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert "ideal_dcg" not in plan and metrics.dcg(rows, 3).first()["dcg_value"] == 7.0

@@ -116,3 +116,21 @@ def test_ingest_numbers_over_documents_and_drops_copies(spark, tmp_path):
         assert counts == {"s": 4, "t": 1}
     ingest.ingest(docs.where("source = 's'").limit(0), root, 8, sources=spark.createDataFrame([("s",)], "source string"))
     assert _content(spark, root) == [("t", 0, "one")]
+
+
+def test_ingest_keeps_equal_ids_of_two_sources_apart(spark, tmp_path):
+    docs = spark.createDataFrame(
+        [("d", "s", "d", "## H\none"), ("d", "t", "d", "## H\ntwo"), ("d", "s", "e", "## H\nthree"), (None, "s", "f", "## H\nfour")],
+        "doc_id string, source string, relative_path string, text string",
+    )
+    ingest.ingest(docs.repartition(3), str(tmp_path), 8, lambda d: chunking.chunk_corpus(d, inject_context=False))
+    stored = store.read_chunks(spark, str(tmp_path)).collect()
+    assert sorted((r["source"], r["content"]) for r in stored) == [("s", "four"), ("s", "one"), ("s", "three"), ("t", "two")]
+
+
+def test_csv_layouts_are_told_apart(spark, tmp_path):
+    truth = spark.createDataFrame([("q", "c", 3)], "query_id string, chunk_id string, relevance int")
+    files.write_result(truth, str(tmp_path / "truth"), "csv")
+    assert files.read_labelled(spark, str(tmp_path / "truth"), "truth").collect() == truth.collect()
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        files.read_labelled(spark, str(tmp_path / "truth"), "vector").collect()
