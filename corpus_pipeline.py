@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from quarryline.llm import bpe, jaccard, packing, quality, secrets, toxicity
 from quarryline.llm.queries import BYTE_BPE
-from quarryline.llm.rows import free_name
+from quarryline.llm.rows import free_name, small_batches
 from quarryline.session import stage
 
 
@@ -24,6 +24,16 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def _batched(function):
+    """Every stage moves texts in small Arrow batches."""
+
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return function(spark, docs, sf_dir)
+
+    return run_stage
+
+
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose Bradley-Terry score reaches the threshold stay."""
     model, name = quality.train(docs, _labels(spark, sf_dir)), free_name(docs, "_score")
@@ -52,11 +62,11 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
-    ("quality_classifier", quality_filter),
-    ("toxicity", toxicity_filter),
-    ("ngram_jaccard_join", one_of_each_group),
-    ("secret_scans", redact_secrets),
-    ("best_fit_packing", pack),
+    ("quality_classifier", _batched(quality_filter)),
+    ("toxicity", _batched(toxicity_filter)),
+    ("ngram_jaccard_join", _batched(one_of_each_group)),
+    ("secret_scans", _batched(redact_secrets)),
+    ("best_fit_packing", _batched(pack)),
 ]
 # Learned models and automata have no SQL form; tests/llm/test_pipeline.py has a brute-force version of the stages.
 ORACLE_SQL = None

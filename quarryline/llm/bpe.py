@@ -27,7 +27,7 @@ from quarryline.llm.rows import slices, texts
 
 # The splitting pattern of byte-level vocabularies, used where a file only says "use_regex".
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-MEMO_ENTRIES = 400_000  # words remembered by a worker process; it starts afresh beyond that
+MEMO_ENTRIES = 300_000  # words remembered by a worker process; it starts afresh beyond that
 Unit = str | tuple[str]  # see Bpe._units
 _NONE = np.int32(2**31 - 1)  # rank of a pair that is no merge
 

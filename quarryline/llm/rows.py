@@ -22,7 +22,14 @@ def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     return df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Texts are long: Spark's default of 10,000 rows in an Arrow batch would hold tens of MB several times over in every
+    task. Sets the session's batch size; results do not depend on it."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def documents(spark: SparkSession, sf: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
@@ -31,7 +38,7 @@ def bucket_of(key: Column, buckets: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % buckets
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches so that ``column`` (string or binary) holds about ``most`` bytes in each; a longer row stands alone."""
     for batch in batches:
         rows = max(1, most * batch.num_rows // max(batch.column(column).nbytes, 1))
