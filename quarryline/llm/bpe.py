@@ -27,7 +27,7 @@ from quarryline.llm.rows import slices, texts
 
 # The splitting pattern of byte-level vocabularies, used where a file only says "use_regex".
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-MEMO_ENTRIES = 300_000  # words remembered by a worker process; it starts afresh beyond that
+MEMO_ENTRIES = 500_000  # words remembered by a worker process; it starts afresh beyond that
 Unit = str | tuple[str]  # see Bpe._units
 _NONE = np.int32(2**31 - 1)  # rank of a pair that is no merge
 
@@ -225,7 +225,7 @@ def encode_decode(docs: DataFrame, path: str) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 2 << 20):
             ids = bpe.encode(batch.column("text").to_pylist())
             decoded = [bpe.decode(np.frombuffer(x, "<u2")) for x in ids]
             counts = pa.array([len(x) // 2 for x in ids], pa.int64())
@@ -243,7 +243,7 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 2 << 20):
             counts, left, right = [], [], []
             for packed in bpe.encode(batch.column("text").to_pylist()):
                 ids = np.frombuffer(packed, "<u2")
