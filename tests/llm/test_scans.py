@@ -108,3 +108,16 @@ def test_licenses(spark):
     assert by_text[9].labels == "mit" and by_text[10].labels == "mit" and by_text[11].labels == "gpl" and 0.6 <= by_text[10].score < 1
     assert by_text[15].labels == "" and all(0 <= r.score <= 1 for r in got)
     assert licenses.scan(docs.limit(0)).count() == 0
+
+
+def test_licence_spans_are_verified(spark):
+    """A name that is repeated covers its k-grams once; a copy with words put in here and there is still found."""
+    name, gpl = "GNU General Public License ", licenses.plain_words(licenses.TEMPLATES[3][1])
+    spread = " ".join(w + (" one more" if i in (9, 18) else "") for i, w in enumerate(gpl))
+    far = " ".join(gpl[20:]) + " and " + " ".join(gpl[:20])  # both halves stand there, in the wrong order
+    texts = ["see the GNU General Public License or the GNU General Public License", name * 3, name * 2000, spread, far, licenses.TEMPLATES[2][1]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.labels, round(r.score, 3)) for r in licenses.scan(docs).collect()}
+    n = len(gpl) - 2
+    assert got[0] == ("", 0.429) and got[1] == got[2] == ("", 0.286)
+    assert got[3] == ("gpl", round((n - 4) / n, 3)) and got[4] == ("gpl", round(18 / n, 3)) and got[5] == ("gpl", 1.0)
