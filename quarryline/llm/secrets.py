@@ -2,12 +2,14 @@
 
 Learning. The detectors label credentials by kind. At most ``SAMPLE`` different credentials of a kind (smallest hash; up
 to ``LONGEST`` characters each) make a prefix tree over character classes, whose states are merged where a Hoeffding
-bound finds their next-symbol and stop frequencies compatible. The same is done for other credential-like words, the
-background.
+bound finds their next-symbol and stop frequencies compatible. The same is done for the words that touch no span of the
+detectors, the background.
 
-Scoring. Every credential-like word that no detector covers is scored, whole. It becomes a span of kind ``format`` where
-some kind is both as likely per character as all but the least likely ``STRANGE`` of its labelled credentials, and more
-likely than the background by ``MARGIN`` in log likelihood.
+Scoring. A word is a run of the characters that labelled credentials are made of, at least as long as the shortest of them.
+Every word that the detectors don't cover to its last character is scored: whole, else without full stops at its ends, else
+each piece between its full stops. What is scored becomes a span of kind ``format`` where some kind is both as likely per
+character as all but the least likely ``STRANGE`` of its labelled credentials, and more likely than the background by
+``MARGIN`` in log likelihood. Likelihoods depend on character classes only, so each task remembers what it found for a shape.
 
 A null text is empty; an empty text has no spans. Positions are code points, ends exclusive. Repeated rows give
 repeated results. If nothing is labelled, only detectors act (and they find nothing).
@@ -18,20 +20,25 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarryline.llm.rows import free_name, slices, texts
+from quarryline.session import stage
 
 KINDS = ("assign", "access", "hex")  # fixed order
 # Patterns of the detectors. The first group of ``assign`` matches in either case, the rest as written.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
-WORD = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+SHORTEST = 6  # of the values that ``ASSIGN`` labels; the other kinds' are longer
+WORD = re.compile(rf"[A-Za-z0-9+/_.=-]{{{SHORTEST},}}")
+SHAPE = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "A" * 26 + "a" * 26 + "0" * 10)
+MEMO = 200_000  # shapes of up to 64 characters that a task remembers
 HINTS = ("passw", "secret", "token", "api")  # every match of ASSIGN has one of them, in lower case
 
 SAMPLE, LONGEST = 1000, 200
@@ -46,21 +53,34 @@ def detect(text: str) -> list[Span]:
     out: list[Span] = []
     low = text.lower()
     if any(h in low for h in HINTS):
-        out += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 6]
+        out += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= SHORTEST]
     if "AKIA" in text:
         out += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
     out += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     return sorted(out)
 
 
-def others(text: str, base: list[Span]) -> list[tuple[int, int]]:
-    """Credential-like words, with a digit and a letter, that touch no span of the detectors."""
-    out = []
+def covered(base: list[Span]) -> list[tuple[int, int]]:
+    """The spans as disjoint stretches, in order."""
+    out: list[tuple[int, int]] = []
+    for start, _, end in base:
+        if out and start <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], end))
+        else:
+            out.append((start, end))
+    return out
+
+
+def others(text: str, base: list[Span]) -> list[str]:
+    """Words that touch no span of the detectors."""
+    if not base:
+        return WORD.findall(text)
+    taken, at, out = covered(base), 0, []
     for m in WORD.finditer(text):
-        a, b = m.span()
-        word = m.group()
-        if any(c.isdigit() for c in word) and any(c.isalpha() for c in word) and all(b <= s or e <= a for s, _, e in base):
-            out.append((a, b))
+        while at < len(taken) and taken[at][1] <= m.start():
+            at += 1
+        if at == len(taken) or m.end() <= taken[at][0]:
+            out.append(m.group())
     return out
 
 
@@ -176,6 +196,7 @@ class Formats:
             usual = sorted(one.log_likelihood(w) / (len(w) + 1) for w in words)
             self.kinds.append((one, usual[int(STRANGE * len(usual))]))
         self.background = learn(plain) if plain else None
+        self.memo: dict[str, tuple[tuple[int, int], ...]] = {}
 
     def likely(self, word: str) -> bool:
         plain = None
@@ -189,34 +210,76 @@ class Formats:
                 return True
         return False
 
+    def parts(self, shape: str) -> tuple[tuple[int, int], ...]:
+        """Where a word of this shape is a credential, or holds some between its full stops."""
+        if self.likely(shape):
+            return ((0, len(shape)),)
+        if "." not in shape:
+            return ()
+        a, b = len(shape) - len(shape.lstrip(".")), len(shape.rstrip("."))
+        if SHORTEST <= b - a < len(shape) and self.likely(shape[a:b]):
+            return ((a, b),)
+        return tuple(m.span() for m in re.finditer("[^.]+", shape) if len(m.group()) >= SHORTEST and self.likely(m.group()))
+
     def spans(self, text: str) -> tuple[list[Span], list[Span]]:
         """(those of the detectors, all)."""
         base = detect(text)
-        more = [(a, len(KINDS), b) for a, b in others(text, base) if self.likely(text[a:b])]
+        if not self.kinds:
+            return base, base
+        taken, at, more = covered(base), 0, []
+        for m in WORD.finditer(text.translate(SHAPE)):
+            shape, start = m.group(), m.start()
+            parts = self.memo.get(shape)
+            if parts is None:
+                parts = self.parts(shape)
+                if len(shape) <= 64:
+                    if len(self.memo) >= MEMO:
+                        self.memo.clear()
+                    self.memo[shape] = parts
+            for a, b in parts:
+                a, b = start + a, start + b
+                while at < len(taken) and taken[at][1] <= a:
+                    at += 1
+                if at == len(taken) or a < taken[at][0] or taken[at][1] < b:
+                    more.append((a, len(KINDS), b))
         return base, sorted(base + more)
 
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> Formats:
-    """Infer the automata; what leaves the tasks is one row per different word, what reaches the driver is ``sample`` rows a kind."""
+    """Infer the automata; what leaves a task, and what reaches the driver, is ``sample`` different words a kind."""
+
+    def smallest(values: set[str]) -> list[tuple[int, str]]:
+        return sorted((zlib.crc32(v.encode("utf-8", "replace")), v) for v in values)[:sample]
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[set[str]] = [set() for _ in range(len(KINDS) + 1)]
         for batch in slices(batches, "text"):
-            rows = set()
+            rows: list[set[str]] = [set() for _ in kept]
             for text in batch.column("text").to_pylist():
                 base = detect(text)
                 for start, kind, end in base:
-                    value = ASSIGN.match(text, start).group(2) if kind == 0 else text[start:end]
-                    rows.add((kind, value))
-                rows.update((len(KINDS), text[a:b]) for a, b in others(text, base))
-            kept = [r for r in rows if len(r[1]) <= LONGEST]
-            if kept:
-                kind, value = zip(*kept)
-                yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(value, pa.string())], names=["kind", "value"])
-
-    rows = texts(docs).select("text").mapInArrow(found, "kind int, value string").distinct()
-    first = Window.partitionBy("kind").orderBy(F.xxhash64("value"), "value")
-    words = rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= sample).collect()
-    kinds = [[r.value for r in words if r.kind == k] for k in range(len(KINDS) + 1)]
+                    rows[kind].add(ASSIGN.match(text, start).group(2) if kind == 0 else text[start:end])
+                rows[-1].update(others(text, base))
+            for kind, words in enumerate(rows):
+                new = {w for w in words if len(w) <= LONGEST} - kept[kind]
+                if new:
+                    kept[kind] = {v for _, v in smallest(kept[kind] | new)}
+        for kind, words in enumerate(kept):
+            if words:
+                hashed = smallest(words)
+                last = hashed[-1][0] if len(hashed) == sample else 1 << 32
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([kind] * len(hashed), pa.int32()), *(pa.array(c, t) for c, t in zip(zip(*hashed), (pa.int64(), pa.string()))), pa.array([last] * len(hashed), pa.int64())],
+                    names=["kind", "hash", "value", "last"],
+                )
+
+    rows = stage(texts(docs).select("text").mapInArrow(found, "kind int, hash long, value string, last long"))
+    # Whatever one task kept bounds what all keep: few rows beyond the sample are left to be sorted.
+    bounds = {r.kind: r.bound for r in rows.groupBy("kind").agg(F.min("last").alias("bound")).collect()}
+    kinds: list[list[str]] = []
+    for kind in range(len(KINDS) + 1):
+        within = rows.where((F.col("kind") == kind) & (F.col("hash") <= bounds.get(kind, -1)))
+        kinds.append([r.value for r in within.select("hash", "value").distinct().orderBy("hash", "value").limit(sample).collect()] if kind in bounds else [])
     return Formats(kinds[:-1], kinds[-1])
 
 

@@ -121,3 +121,30 @@ def test_licence_spans_are_verified(spark):
     n = len(gpl) - 2
     assert got[0] == ("", 0.429) and got[1] == got[2] == ("", 0.286)
     assert got[3] == ("gpl", round((n - 4) / n, 3)) and got[4] == ("gpl", round(18 / n, 3)) and got[5] == ("gpl", 1.0)
+
+
+def test_every_word_of_the_labelled_alphabet_is_scored(spark):
+    """Bare credentials that are short, all digits or dotted, and words around a detector's span."""
+    rng = random.Random(3)
+    few = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
+    makes = [
+        lambda: few("0123456789", 9), lambda: few("ABCDEFGH", 3) + few("0123456789", 4) + few("ABCDEFGH", 1),
+        lambda: ".".join(few("ABCDEFGH", 4) + few("0123456789", 3) for _ in range(3)), lambda: "zz-" + few(HEX, 24) + "-QQ9",
+    ]
+    prose = lambda: " ".join(few("abcdefgh", rng.randint(3, 11)) for _ in range(12))
+    learned = [f'{prose()}. token = "{make()}" {prose()}' for make in makes for _ in range(200)]
+    bare = [make() for make in makes for _ in range(20)]
+    docs = spark.createDataFrame([(t,) for t in learned], "text string").selectExpr("0L AS doc_id", "text")
+    formats = secrets.train(docs)
+    found = []
+    for word in bare:
+        for text in (f"{prose()} {word} {prose()}", f"{prose()} {word}. {prose()}"):
+            start = text.index(word)
+            found.append((start, 3, start + len(word)) in formats.spans(text)[1])
+    assert sum(found) >= 0.9 * len(found)
+    assert not any(kind == 3 for _ in range(200) for _, kind, _ in formats.spans(prose() + ". " + prose())[1])
+    masked = secrets.redact(spark.createDataFrame([(0, f"x {bare[-1]} y")], "doc_id long, text string"), formats).head().text
+    assert masked == "x [SECRET] y"
+    # The sample doesn't depend on how the rows are cut into tasks.
+    one, many = (secrets.train(docs.repartition(n), 40) for n in (1, 7))
+    assert [k[0].count for k in one.kinds] == [k[0].count for k in many.kinds] and one.background.count == many.background.count
