@@ -4,8 +4,8 @@ A document's strength is a weighted sum of text statistics. The weights are lear
 labelled 1 beats one labelled 0) by logistic loss on the difference of their features. The decision threshold is a
 quantile of the strengths: the share of labels 0 among all training labels.
 
-Learning takes at most ``per_label`` documents of each label, those with the smallest hash of their id; label counts
-cover all of them. Labels, lang, source and ids never enter a score. A null text is empty; an empty text gets a score
+The weights are learned from at most ``per_label`` documents of each label, those with the smallest hash of their id. The
+threshold is exact over the strengths of all labelled documents that are not held out. Labels, lang, source and ids never enter a score. A null text is empty; an empty text gets a score
 like any other. Without labels, or with one kind only, every document scores ``KEEP``, hence is kept. Repeated labels of a
 document count as often as they occur; labels other than 0 and 1 and null labels are ignored.
 """
@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarryline.llm.rows import bucket_of, texts
+from quarryline.operators.scale import running_sum
+from quarryline.session import stage
 
 KEEP = 0.7  # the score at the threshold
 PER_LABEL = 4000
@@ -121,7 +123,42 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Qua
     rows = texts(docs).join(sample, "doc_id").select("label", measured("text").alias("x")).collect()
     split = [np.array([r.x for r in rows if r.label == v], dtype=float).reshape(-1, len(features(""))) for v in (0, 1)]
     total = sum(sizes.values())
-    return fit(split[1], split[0], sizes.get(0, 0) / total if total else 0.0)
+    bad_share = sizes.get(0, 0) / total if total else 0.0
+    model = fit(split[1], split[0], bad_share)
+    return replace(model, threshold=threshold(docs, known, model, bad_share)) if model.weights.any() else model
+
+
+def threshold(docs: DataFrame, known: DataFrame, model: Quality, bad_share: float) -> float:
+    """The ``bad_share`` quantile of the strengths of all documents in ``known`` (doc_id, label), exactly.
+
+    As in ``fit``, each label has its true share of the weight, and the quantile is the middle between the row that
+    reaches it and the next. Texts stay where they are: strengths are joined with the labels, and equal ones become counts.
+    """
+
+    @F.pandas_udf("double")
+    def strength(batch: pd.Series) -> pd.Series:
+        return pd.Series(model.strength(_matrix(batch)) if len(batch) else [], dtype=float)
+
+    rows = texts(docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))))
+    measured = rows.select("doc_id", strength("text").alias("strength")).groupBy("doc_id", "strength").agg(F.count("*").alias("copies"))
+    asked = known.groupBy("doc_id").agg(F.count(F.when(F.col("label") == 1, 1)).alias("good"), F.count(F.when(F.col("label") == 0, 1)).alias("bad"))
+    both = measured.join(asked, "doc_id").groupBy("strength").agg(F.sum(F.col("copies") * F.col("good")).alias("good"), F.sum(F.col("copies") * F.col("bad")).alias("bad"))
+    counted = stage(both)
+    sums = counted.agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).head()
+    for label in ("good", "bad"):
+        counted = running_sum(counted, [], [F.col("strength")], F.col(label), f"{label}_before")
+    one = {"good": (1 - bad_share) / sums.good, "bad": bad_share / sums.bad}
+    reached = sum((F.col(f"{c}_before") + F.col(c)) * one[c] for c in one)
+    ranked = stage(counted.withColumn("reached", reached))
+    at = ranked.where(F.col("reached") >= bad_share - 1e-12).orderBy("strength").limit(2).collect()
+    # The row that reaches the quantile is the last of its strength, unless the others of its strength reach it too.
+    last = at[0].reached - (one["bad"] if at[0].bad else one["good"]) < bad_share - 1e-12
+    if len(at) == 2 and last:
+        return (at[0].strength + at[1].strength) / 2
+    if last and at[0].good + at[0].bad == 1:  # no row is left above: the middle of the last two
+        below = ranked.where(F.col("strength") < at[0].strength).agg(F.max("strength")).head()[0]
+        return (below + at[0].strength) / 2
+    return at[0].strength
 
 
 def score_column(model: Quality, text: Column) -> Column:

@@ -74,3 +74,21 @@ def test_toxicity_without_labels(spark):
     docs, labels = tables(spark, 20)
     for some in (labels.limit(0), labels.where("toxic = 0")):
         assert all(r.toxic == 0 for r in toxicity.score_documents(docs, toxicity.train(docs, some)).collect())
+
+
+def test_threshold_covers_all_labels(spark):
+    """Few learning rows don't move the quantile: it is that of all labelled rows which are not held out."""
+    docs, labels = tables(spark)
+    known = {}
+    for r in labels.collect():
+        if r.doc_id is not None and r.quality is not None and zlib.crc32(str(r.doc_id).encode()) % 4 != 2:
+            known.setdefault(r.doc_id, []).append(r.quality)
+    share = np.mean([q == 0 for v in known.values() for q in v])
+    for per_label in (10, 4000):
+        model = quality.train(docs, labels, per_label)
+        rows = [(float(model.strength(np.array([quality.features(r.text or "")]))[0]), q) for r in docs.collect() for q in known.get(r.doc_id, [])]
+        rows.sort(key=lambda x: (x[0], -x[1]))
+        n = {q: sum(x == q for _, x in rows) for q in (0, 1)}
+        reached = np.cumsum([share / n[0] if q == 0 else (1 - share) / n[1] for _, q in rows])
+        at = int(np.searchsorted(reached, share - 1e-12))
+        assert abs(model.threshold - (rows[at][0] + rows[at + 1][0]) / 2) < 1e-9
