@@ -6,8 +6,10 @@ is a direction. A vector is list-decoded to all directions it passes: a half who
 cap is left out at once. There are ``ROTATIONS`` such codes. Vectors of one label that pass a common filter are candidates
 and are verified by their cosine in double precision, in tiles (see ``links``).
 
-The defaults (268 million filters for 64 dimensions, about 54 passed by a vector) find a pair at the threshold with a
-probability above 0.99 (tests measure recall against brute force), and unrelated vectors hardly ever meet.
+The defaults (268 million filters, for 64 dimensions about 54 passed by a vector) find a pair at the threshold with a
+probability above 0.98 (tests measure recall against brute force), and unrelated vectors hardly ever meet. Inner products
+shrink as vectors get wider: beyond ``CAP_WIDTH`` dimensions the cap is derived, so that random vectors pass ``PASSED``
+filters on average. A vector that passes none is compared with all vectors of its label and width, block by block.
 
 Vectors that are null, empty, zero or hold null or non-finite components, and rows without a label or id, are linked to
 nothing. Vectors of different widths never link. Equal vectors of one label are one item with copies.
@@ -27,6 +29,9 @@ from quarryline.session import stage
 
 THRESHOLD = 0.93
 CODE_WORDS, ROTATIONS, CAP = 4096, 16, 0.58
+CAP_WIDTH = 64  # CAP is for vectors up to so wide
+PASSED = 150  # filters that a wider vector passes on average: with fewer, recall falls below that of 64 dimensions
+BLOCK_BYTES = 32 << 20  # of vectors without filters that a task holds at once
 
 
 class Code:
@@ -40,6 +45,20 @@ class Code:
             halves = [rng.normal(size=(words, len(h))) for h in np.array_split(np.arange(width), 2)]
             self.books.append([(h / np.maximum(np.linalg.norm(h, axis=1, keepdims=True), 1e-12) / np.sqrt(2)).astype(np.float32).T for h in halves])
 
+    def usual_cap(self) -> float:
+        """The cap for vectors of this width: ``CAP``, or less where random vectors would pass fewer than ``PASSED`` filters."""
+        turn, (left, right) = self.turn[0], self.books[0]
+        if len(turn) <= CAP_WIDTH:
+            return CAP
+        turned = _unit(np.random.default_rng(1).normal(size=(256, len(turn)))).astype(np.float32) @ turn
+        a, b = turned[:, : left.shape[0]] @ left, np.sort(turned[:, left.shape[0] :] @ right, axis=1)
+        low, high = 0.0, CAP
+        for _ in range(12):
+            cap = (low + high) / 2
+            n = np.mean([b.shape[1] * len(x) - np.searchsorted(y, cap - x).sum() for x, y in zip(a, b)]) * len(self.turn)
+            low, high = (cap, high) if n > PASSED else (low, cap)
+        return low
+
     def passed(self, unit: np.ndarray, cap: float) -> list[list[int]]:
         """Numbers of the filters that each unit vector passes."""
         out: list[list[int]] = [[] for _ in unit]
@@ -61,12 +80,57 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
+def _without_filters(reps: DataFrame, threshold: float) -> DataFrame:
+    """``reps``, where each vector without keys has one of its own, which all vectors close to it get as well."""
+    alone = reps.where(F.size("keys") == 0).select(F.xxhash64(F.lit("alone"), "rep").alias("key"), "side", "raw")
+
+    def extended(reps: DataFrame, block: list) -> DataFrame:
+        sent = reps.sparkSession.sparkContext.broadcast(block)
+
+        def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sides: dict[tuple[int, int], tuple[list, list]] = {}
+            for key, side, raw in sent.value:
+                keys, raws = sides.setdefault((side, len(raw)), ([], []))
+                keys.append(key)
+                raws.append(raw)
+            ready = {s: (keys, _unit(np.frombuffer(b"".join(raws), np.float64).reshape(len(raws), -1))) for s, (keys, raws) in sides.items()}
+            for whole in batches:
+                for start in range(0, whole.num_rows, 256):
+                    batch = whole.slice(start, 256)
+                    columns = batch.to_pydict()
+                    found = columns["keys"]
+                    at: dict[tuple[int, int], list[int]] = {}
+                    for k, (side, raw) in enumerate(zip(columns["side"], columns["raw"])):
+                        if (side, len(raw)) in ready:
+                            at.setdefault((side, len(raw)), []).append(k)
+                    for s, here in at.items():
+                        keys, theirs = ready[s]
+                        mine = _unit(np.frombuffer(b"".join(columns["raw"][k] for k in here), np.float64).reshape(len(here), -1))
+                        for i, j in zip(*np.nonzero(mine @ theirs.T >= threshold - 1e-9)):
+                            found[here[i]].append(keys[j])
+                    yield batch.set_column(batch.schema.get_field_index("keys"), "keys", pa.array(found, pa.list_(pa.int64())))
+
+        out = stage(reps.mapInArrow(compare, reps.schema))
+        sent.unpersist()
+        return out
+
+    block: list[tuple[int, int, bytes]] = []
+    size = 0
+    for r in alone.toLocalIterator():
+        block.append((r.key, r.side, bytes(r.raw)))
+        size += len(r.raw)
+        if size >= BLOCK_BYTES:
+            reps, block, size = extended(reps, block), [], 0
+    return extended(reps, block) if block else reps
+
+
 def near_duplicates(
-    vectors: DataFrame, threshold: float = THRESHOLD, words: int = CODE_WORDS, rotations: int = ROTATIONS, cap: float = CAP
+    vectors: DataFrame, threshold: float = THRESHOLD, words: int = CODE_WORDS, rotations: int = ROTATIONS, cap: float | None = None
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row of ``vectors`` (vec_id, embedding, label).
 
     ``component_id`` is the smallest vec_id reachable by links, ``n_links`` the number of other rows linked directly.
+    Without ``cap`` each width has its own (``Code.usual_cap``).
     """
     rows = vectors.select("vec_id", F.col("label"), F.transform("embedding", lambda x: x.cast("double")).alias("v"))
     fit = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
@@ -77,7 +141,7 @@ def near_duplicates(
     )
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes: dict[int, Code] = {}
+        codes: dict[int, tuple[Code, float]] = {}
         for whole in batches:
             for start in range(0, whole.num_rows, 512):
                 batch = whole.slice(start, 512)
@@ -86,8 +150,11 @@ def near_duplicates(
                 found: list[list[int]] = [[] for _ in vectors]
                 for width in np.unique(widths).tolist():
                     here = np.flatnonzero(widths == width)
-                    code = codes.setdefault(width, Code(width, words, rotations))
-                    for k, numbers in zip(here.tolist(), code.passed(_unit(np.stack([vectors[k] for k in here])), cap)):
+                    if width not in codes:
+                        code = Code(width, words, rotations)
+                        codes[width] = code, code.usual_cap() if cap is None else cap
+                    code, least = codes[width]
+                    for k, numbers in zip(here.tolist(), code.passed(_unit(np.stack([vectors[k] for k in here])), least)):
                         found[k] = numbers
                 columns = [batch.column(c) for c in ("rep", "copies", "least", "label")]
                 raw = pa.array([v.tobytes() for v in vectors], pa.binary())
@@ -96,6 +163,7 @@ def near_duplicates(
     kinds = dict(items.dtypes)
     reps = stage(items.mapInArrow(decode, f"rep long, copies long, least {kinds['least']}, label {kinds['label']}, raw binary, filters array<long>"))
     keys = F.transform("filters", lambda f: F.xxhash64(f, F.col("label"), F.length("raw")))
+    reps = _without_filters(reps.select("rep", "copies", "least", "raw", keys.alias("keys"), F.xxhash64("label", F.length("raw")).alias("side")), threshold)
 
     def close(left: list[bytes], right: list[bytes]) -> np.ndarray:
         size = len(left[0])
@@ -108,7 +176,7 @@ def near_duplicates(
         x, y = (_unit(np.frombuffer(b"".join(s), np.float64).reshape(len(s), -1)) for s in (left, right))
         return x @ y.T >= threshold
 
-    linked = stage(link(reps.select("rep", "copies", keys.alias("keys"), F.col("raw").alias("payload")), lambda work: work, close))
+    linked = stage(link(reps.select("rep", "copies", "keys", F.col("raw").alias("payload")), lambda work: work, close))
     everyone = reps.select("rep", "copies", "least").join(linked, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     first = everyone.groupBy("component").agg(F.min("least").alias("component_id"))
     known = everyone.join(first, "component").select("rep", (F.col("copies") - 1 + F.coalesce("n_links", F.lit(0))).alias("n_links"), "component_id")

@@ -153,3 +153,34 @@ def test_caps_recall_with_production_parameters():
     code = caps.Code(64, caps.CODE_WORDS, caps.ROTATIONS)
     a, b = code.passed(x, caps.CAP), code.passed(y, caps.CAP)
     assert np.mean([bool(set(p) & set(q)) for p, q in zip(a, b)]) >= 0.98
+
+
+def pairs_at_threshold(n, width):
+    rng = np.random.default_rng(6)
+    x, z = rng.normal(size=(2, n, width))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z -= (z * x).sum(axis=1, keepdims=True) * x
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    return x, 0.93 * x + np.sqrt(1 - 0.93**2) * z
+
+
+def test_caps_recall_in_wide_vectors():
+    assert caps.Code(64, 512, 2).usual_cap() == caps.CAP
+    for width in (96, 128, 384):
+        x, y = pairs_at_threshold(200, width)
+        code = caps.Code(width, caps.CODE_WORDS, caps.ROTATIONS)
+        a, b = (code.passed(v, code.usual_cap()) for v in (x, y))
+        recall = np.mean([bool(set(p) & set(q)) for p, q in zip(a, b)])
+        print(width, code.usual_cap(), recall, np.mean([len(p) for p in a]))
+        assert recall >= 0.98
+
+
+def test_caps_vectors_without_filters(spark, monkeypatch):
+    """Nothing passes a filter: every pair is found by comparison, in several blocks."""
+    monkeypatch.setattr(caps, "BLOCK_BYTES", 20_000)
+    x, y = pairs_at_threshold(24, 128)
+    y = y + 0.05 * x  # clear of the threshold
+    rows = [(2 * i + k, v[i].tolist(), i % 2) for i in range(24) for k, v in enumerate((x, y))]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(3)
+    got = caps.near_duplicates(frame, words=16, rotations=1, cap=0.9).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(i, 1, i - i % 2) for i in range(48)]
