@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarryline.llm import bpe, caps, jaccard, licenses, oracles, packing, quality, repair, secrets, topk, toxicity
+from quarryline.llm import bpe, caps, jaccard, licenses, merkle, mixing, oracles, packing, periods, quality, repair, secrets, topk, toxicity
 from quarryline.llm.rows import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,9 +57,22 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf), bpe.public_file(BYTE_BPE))
 
 
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mix_documents(documents(spark, sf))
+
+
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return merkle.document_manifest(documents(spark, sf))
+
+
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return periods.document_runs(documents(spark, sf))
+
+
 QUERIES: dict[str, Query] = {
     "op1_repair_ids": op1, "op2_topk": op2, "op3_secrets": op3, "op4_jaccard_join": op4, "op5_licenses": op5, "op6_caps": op6,
     "op7_bpe": op7, "op8_toxicity": op8, "op9_quality": op9, "op10_packing": op10,
+    "op11_mixing": op11, "op12_merkle": op12, "op13_periods": op13,
 }
 
 
