@@ -5,6 +5,7 @@ import zlib
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from quarryline.llm import periods
@@ -93,15 +94,13 @@ def test_small_tile_rows(spark, frame, monkeypatch):
     small = [(int(i), t) for i, t in rows() if i is not None and i < 100]
     tiles, solve = periods._tiles, periods._solve_tiles
     monkeypatch.setattr(periods, "_ROW", 8)
-    import pyarrow as pa
-
     batch = pa.RecordBatch.from_pydict({"_row": list(range(len(small))), "text": [t for _, t in small]})
     found = pa.Table.from_batches(list(solve(tiles(iter([batch])))))
     pieces = spark.createDataFrame(found.to_pandas())
     got = {}
     for r in periods.stitch(pieces).collect():
         got.setdefault(r._row, []).append((r.start, r.length, r.period))
-    assert {k: sorted(v) for k, v in got.items()} == {k: v for k, (_, t) in enumerate(small) if (v := all_runs(t.split()))}
+    assert {k: sorted(v) for k, v in got.items()} == {k: v for k, (_, t) in enumerate(small) if (v := all_runs(periods.split_words(t)))}
 
 
 def test_colliding_names(monkeypatch):
