@@ -67,6 +67,8 @@ def shingle_hashes(batch: list[str], of_byte: np.ndarray, of_place: np.ndarray)
     starts = np.concatenate([[0], ends[:-1] + 1])
     within = np.arange(len(flat)) - np.repeat(starts, np.diff(np.append(starts, len(flat))))
     values = of_byte[within % 64, flat]
+    far = np.flatnonzero(within >= 64)  # the table starts again, so each round has a factor of its own
+    values[far] *= _mixed((within[far] >> 6).astype(np.uint64)) | _U64(1)
     values[ends[:-1]] = 0
     hashed = _mixed(np.add.reduceat(values, starts))
     wide = np.concatenate([hashed, np.zeros(SIZE, np.uint64)])

@@ -184,3 +184,12 @@ def test_caps_vectors_without_filters(spark, monkeypatch):
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(3)
     got = caps.near_duplicates(frame, words=16, rotations=1, cap=0.9).collect()
     assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(i, 1, i - i % 2) for i in range(48)]
+
+
+def test_long_words_by_position(spark):
+    """Blocks of 64 bytes that change places make another word."""
+    a, b = "x" * 64 + "y" * 64, "y" * 64 + "x" * 64
+    texts = [f"{a} {i} {b}" for i in "pq"] + [f"{b} p {a}", a, b, a + b, b + a, f"{a} p {b}"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard.join(frame).collect()}
+    assert got == {i: (i, 0) for i in range(1, 7)} | {0: (0, 1), 7: (0, 1)}
