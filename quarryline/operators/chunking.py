@@ -44,6 +44,25 @@ def block_topic(block_text: Column, max_lines: int = 12, topic_line: str = X.TOP
     return F.coalesce(F.nullif(title, F.lit("")), F.lit(NO_TOPIC))
 
 
+def is_fence(line: Column) -> Column:
+    return line.startswith("```") | line.startswith("~~~")
+
+
+def fenced(line: Column, fences: Column) -> Column:
+    """After an odd number of fence lines (``fences`` counts them up to and with this one), or a fence line itself."""
+    return ((fences % 2) == 1) | is_fence(line)
+
+
+def header_level(line: Column, in_fence: Column, headers: tuple[str, str]) -> Column:
+    outer, inner = (rf"^{re.escape(mark)}(\s|$)" for mark in headers)
+    return F.when(in_fence, 0).when(line.rlike(inner), 3).when(line.rlike(outer), 2).otherwise(0)
+
+
+def header_title(line: Column, headers: tuple[str, str]) -> Column:
+    marks = "^(?:" + "|".join(re.escape(m) for m in sorted(headers, key=len, reverse=True)) + ")"
+    return X.strip(F.regexp_replace(line, marks, ""))
+
+
 def split_sections(
     blocks: DataFrame, keys: Sequence[str] = ("doc_id", "block"), headers: tuple[str, str] = HEADERS
 ) -> DataFrame:
@@ -61,16 +80,11 @@ def split_sections(
 
     rows = blocks.select(*keys, *carried, F.posexplode(X.lines(col("block_text"))).alias("line_no", "raw"))
     rows = rows.select(*keys, *carried, "line_no", X.strip(col("raw")).alias("line"))
-    rows = rows.withColumn("is_fence", line.startswith("```") | line.startswith("~~~"))
-    rows = rows.withColumn("fences", F.sum(col("is_fence").cast("int")).over(so_far))
-    # Fenced: after an odd number of fence lines, or a fence line itself.
-    rows = rows.withColumn("fenced", ((col("fences") % 2) == 1) | col("is_fence"))
-    marks = "^(?:" + "|".join(re.escape(m) for m in sorted(headers, key=len, reverse=True)) + ")"
-    outer, inner = (rf"^{re.escape(mark)}(\s|$)" for mark in headers)
-    level = F.when(col("fenced"), 0).when(line.rlike(inner), 3).when(line.rlike(outer), 2).otherwise(0)
-    rows = rows.withColumn("level", level)
+    rows = rows.withColumn("fences", F.sum(is_fence(line).cast("int")).over(so_far))
+    rows = rows.withColumn("fenced", fenced(line, col("fences")))
+    rows = rows.withColumn("level", header_level(line, col("fenced"), headers))
 
-    header = F.struct("line_no", X.strip(F.regexp_replace("line", marks, "")).alias("title"))
+    header = F.struct("line_no", header_title(line, headers).alias("title"))
     paragraph_end = (col("level") > 0) | (~col("fenced") & (line == ""))
     rows = rows.select(
         "*",
@@ -277,7 +291,9 @@ def chunk_corpus(
     headers: tuple[str, str] = HEADERS,
     separators: Sequence[str] = SEPARATORS,
 ) -> DataFrame:
-    """Blocks, topics, header sections, size split, labels, ids and metadata for (doc_id, source, relative_path, text).
+    """A document is one row and is chunked in one task; ``long_documents.chunk_lines`` spreads documents of any size.
+
+    Blocks, topics, header sections, size split, labels, ids and metadata for (doc_id, source, relative_path, text).
 
     ``rule`` and ``topic_line`` are patterns of a rule line and of a topic line (its first group is the title),
     ``headers`` the marks of the outer and the inner header.

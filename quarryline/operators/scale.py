@@ -77,6 +77,62 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[Column], val
     return local.join(shifts, match, "left").select(*df.columns, total.alias(out))
 
 
+def in_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The rows, staged in ranges of (keys, order); ``_range`` numbers them. What ``running`` works on."""
+    ranged = df.repartitionByRange(*[F.col(c) for c in (*keys, *order)])
+    return stage(ranged.withColumn("_range", F.spark_partition_id()))
+
+
+def running(
+    ranged: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    sums: dict[str, Column] | None = None,
+    lasts: dict[str, Column] | None = None,
+    earlier: dict[str, Column] | None = None,
+) -> DataFrame:
+    """A prefix scan along each key, however long it is: rows of ``in_ranges`` with further columns, staged again.
+
+    ``sums`` add up to and with the row, ``lasts`` are the last value up to and with the row that is not null, ``earlier``
+    the last one before the row. Every range is scanned by itself; what a key has in earlier ranges is summed up from one
+    row per range and key. ``keys`` may be more than the rows were ranged by, as long as they ascend with ``order``.
+    """
+    sums, lasts, earlier = sums or {}, lasts or {}, earlier or {}
+    values = {**sums, **lasts, **earlier}
+    rows = ranged.withColumns({f"_v_{n}": v for n, v in values.items()})
+    at = F.struct(*order)
+    per_range = rows.groupBy("_range", *keys).agg(
+        *[F.sum(f"_v_{n}").alias(n) for n in sums],
+        *[F.max_by(f"_v_{n}", F.when(F.col(f"_v_{n}").isNotNull(), at)).alias(n) for n in (*lasts, *earlier)],
+    )
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = per_range.select(
+        F.col("_range").alias("_range_r"),
+        *[F.col(c).alias(f"_key_{c}") for c in keys],
+        *[F.sum(n).over(before).alias(f"_b_{n}") for n in sums],
+        *[F.last(n, ignorenulls=True).over(before).alias(f"_b_{n}") for n in (*lasts, *earlier)],
+    )
+    inside = Window.partitionBy("_range", *keys).orderBy(*order)
+    so_far, until = inside.rowsBetween(Window.unboundedPreceding, 0), inside.rowsBetween(Window.unboundedPreceding, -1)
+    local = rows.withColumns(
+        {f"_l_{n}": F.sum(f"_v_{n}").over(so_far) for n in sums}
+        | {f"_l_{n}": F.last(f"_v_{n}", ignorenulls=True).over(so_far) for n in lasts}
+        | {f"_l_{n}": F.last(f"_v_{n}", ignorenulls=True).over(until) for n in earlier}
+    )
+    match = F.col("_range") == F.col("_range_r")
+    for c in keys:
+        match = match & F.col(c).eqNullSafe(F.col(f"_key_{c}"))
+    joined = local.join(shifts, match, "left")
+    zero = F.lit(0)
+    return stage(
+        joined.select(
+            *ranged.columns,
+            *[(F.coalesce(f"_l_{n}", zero) + F.coalesce(f"_b_{n}", zero)).alias(n) for n in sums],
+            *[F.coalesce(f"_l_{n}", f"_b_{n}").alias(n) for n in (*lasts, *earlier)],
+        )
+    )
+
+
 def number_rows(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str, rows_per_key: int | None = None
 ) -> DataFrame:

@@ -22,6 +22,7 @@ from quarryline.operators import (
     integrity,
     keyword,
     labels,
+    long_documents,
     metrics,
     rerank,
     rewrite,
@@ -62,7 +63,9 @@ def queries() -> dict[str, Query]:
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """The rows of a table. Those of fewer files than cores are dealt out, as a file of one row group is read by one task."""
+    rows, cores = spark.read.parquet(f"{sf}/{name}.parquet"), spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if len(rows.inputFiles()) < cores else rows
 
 
 def markdown(title: Column, text: Column) -> Column:
@@ -415,6 +418,12 @@ def c11(spark: SparkSession, sf: str) -> DataFrame:
     return _chunk_columns(chunking.chunk_corpus(corpus(spark, sf), 2000, 300))
 
 
+@query("c11_long_documents")
+def c11_long(spark: SparkSession, sf: str) -> DataFrame:
+    """The same chunks from rows of lines, which spread a document over tasks."""
+    return _chunk_columns(long_documents.chunk_lines(long_documents.lines_of(corpus(spark, sf)), 2000, 300))
+
+
 # --- hashing, duplicates, integrity ---------------------------------------------------------------------------------
 
 

@@ -594,4 +594,4 @@ run_labelled AS (
             {_scores('run_labelled', 'run, query_id')}, summary AS (SELECT run, {_MEANS} FROM qs GROUP BY run)
             SELECT run, {_rounded_means(6)} FROM summary""",
     }
-    return sql
+    return sql | {"c11_long_documents": sql["c11_chunk_corpus"]}

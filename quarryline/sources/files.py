@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,23 +25,54 @@ def load_corpus(
     recursive: bool = True,
 ) -> DataFrame:
     """One row per text file below ``root`` (an absolute path or URI): (doc_id, source, relative_path, text)."""
+    files, relative = _text_files(spark, root, extensions, recursive, wholetext=True)
+    return files.select(
+        F.concat(F.lit(f"{source}::"), relative).alias("doc_id"),
+        F.lit(source).alias("source"),
+        relative.alias("relative_path"),
+        F.col("value").alias("text"),
+    )
+
+
+def load_lines(
+    spark: SparkSession,
+    root: str,
+    source: str,
+    extensions: Sequence[str] | None = None,
+    recursive: bool = True,
+) -> DataFrame:
+    """One row per line of the text files below ``root``, for files that are too long for one task:
+    (doc_id, source, relative_path, doc, place, line).
+
+    A large file is read by several tasks; ``place`` orders the lines of a file by the split they come from, and
+    inside it as they were read.
+    """
+    files, relative = _text_files(spark, root, extensions, recursive, lineSep="\n")
+    return files.select(
+        F.concat(F.lit(f"{source}::"), relative).alias("doc_id"),
+        F.lit(source).alias("source"),
+        relative.alias("relative_path"),
+        relative.alias("doc"),
+        F.struct(F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("row")).alias("place"),
+        F.col("value").alias("line"),
+    )
+
+
+def _text_files(
+    spark: SparkSession, root: str, extensions: Sequence[str] | None, recursive: bool, **options: object
+) -> tuple[DataFrame, Column]:
+    """Rows of the text files, and the path of a row's file below ``root``."""
     if not root.startswith("/") and not _SCHEME.match(root):
         raise ValueError("root must be an absolute path or a URI")
     endings = ",".join(e.lstrip(".") for e in (extensions or TEXT_EXTENSIONS))
     reader = spark.read.option("pathGlobFilter", f"*.{{{endings}}}")
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
-    files = reader.text(root, wholetext=True)
+    files = reader.text(root, **options)
     # file_path is URI-encoded; a plus sign stands for itself there.
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     below = "/" + _SCHEME.sub("", root).strip("/") + "/"
-    relative = F.substring(path, F.instr(path, below) + len(below), F.length(path))
-    return files.select(
-        F.concat(F.lit(f"{source}::"), relative).alias("doc_id"),
-        F.lit(source).alias("source"),
-        relative.alias("relative_path"),
-        F.col("value").alias("text"),
-    )
+    return files, F.substring(path, F.instr(path, below) + len(below), F.length(path))
 
 
 def read_queries(spark: SparkSession, path: str) -> DataFrame:
