@@ -24,6 +24,7 @@ from quarryline.operators import (
     labels,
     long_documents,
     metrics,
+    postings,
     rerank,
     rewrite,
     vector,
@@ -571,6 +572,35 @@ def v5_one(spark: SparkSession, sf: str) -> DataFrame:
     return _hit_columns(hits, "score")
 
 
+def _saved_postings(spark: SparkSession, sf: str) -> postings.Postings:
+    """Postings of all documents, kept as files and read back."""
+    folder = shared_folder(spark)
+    postings.build_postings(documents_as_chunks(spark, sf), buckets=16).write(folder)
+    return postings.Postings.read(spark, folder)
+
+
+@query("v4_postings_by_token")
+def v4_by_token(spark: SparkSession, sf: str) -> DataFrame:
+    index = _saved_postings(spark, sf)
+    totals = index.totals.select("n_chunks", F.round("avg_dl", 6).alias("avg_dl"))
+    counted = small_join(index.rows, index.tokens.select("token", "df"), ["token"], spread="chunk_id")
+    return counted.select(
+        "chunk_id", "token", "tf", "dl", "df", totals.select("n_chunks").scalar().alias("n_chunks"), totals.select("avg_dl").scalar().alias("avg_dl")
+    )
+
+
+@query("v5_postings_topk")
+def v5_postings(spark: SparkSession, sf: str) -> DataFrame:
+    chunks, asked = documents_as_chunks(spark, sf), benchmark_queries(spark, sf)
+    return _hit_columns(postings.postings_top_k(_saved_postings(spark, sf), chunks, asked, K), "score")
+
+
+@query("v5_postings_one_source")
+def v5_postings_one(spark: SparkSession, sf: str) -> DataFrame:
+    chunks, asked = documents_as_chunks(spark, sf), benchmark_queries(spark, sf)
+    return _hit_columns(postings.postings_top_k(_saved_postings(spark, sf), chunks, asked, K, SOURCE), "score")
+
+
 def _hybrid(spark: SparkSession, sf: str, source: str | None) -> DataFrame:
     asked = benchmark_queries(spark, sf)
     index = keyword.keyword_index(documents_as_chunks(spark, sf), asked)
