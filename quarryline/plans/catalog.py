@@ -309,6 +309,27 @@ def s6(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("s6_publish_changes")
+def s6_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """A first publish without the French documents, and a second of all: ``carried`` tells whose vectors were not made anew.
+
+    The second model's vectors are all alike, which hashed ones of a text with words never are.
+    """
+    folder = shared_folder(spark)
+    rows = table(spark, sf, "documents").select(
+        "source", "lang", F.col("doc_id").alias("chunk_index"), F.col("text").alias("content"), F.to_json(F.struct("lang")).alias("chunk_metadata")
+    )
+    hashed = stage(integrity.add_content_hash(rows))
+    first = embedding.hash_embed(hashed.where("lang <> 'fr'").drop("lang"), "content", DIM)
+    store.publish(first, rows.select("source"), folder, DIM, embedding_model="m")
+    plain = F.array_repeat(F.lit(2.0), DIM)
+    known = store.with_stored_vectors(hashed.drop("lang"), folder, DIM, lambda new: new.withColumn("embedding", plain), "m")
+    store.publish(known, rows.select("source"), folder, DIM, embedding_model="m")
+    return store.read_chunks(spark, folder).select(
+        "id", "document_id", "source", "chunk_index", "content_hash", (F.col("embedding")[0] != 2.0).alias("carried")
+    )
+
+
 @query("s7_snapshot")
 def s7(spark: SparkSession, sf: str) -> DataFrame:
     folder = shared_folder(spark)

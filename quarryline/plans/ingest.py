@@ -12,7 +12,7 @@ from quarryline.operators.embedding import hash_embed
 from quarryline.operators.integrity import add_content_hash
 from quarryline.operators.scale import running_sum
 from quarryline.session import stage
-from quarryline.sources.store import publish
+from quarryline.sources.store import publish, with_stored_vectors
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -51,13 +51,17 @@ def ingest(
     embedding_model: str | None = None,
     extra: dict[str, str] | None = None,
     sources: DataFrame | None = None,
+    reuse: bool = False,
 ) -> DataFrame:
     """Replace the stored chunks of every source in ``docs`` (or in ``sources``, which may be without documents).
 
-    Duplicates go before embedding, which stores the same rows and saves model calls.
+    Duplicates go before embedding, which stores the same rows and saves model calls. With ``reuse`` the vectors of contents
+    that the published version has already, by the same model, are carried over, and only what has changed is embedded.
     """
     embed = embedder or (lambda df: hash_embed(df, "content", dim))
     chunks = stage(numbered_rows(add_content_hash(chunker(docs))))
     counts = chunks.groupBy("source").agg(F.count("*").alias("n_chunks"))
     wanted = docs.select("source") if sources is None else sources
-    return publish(embed(unique_chunks(chunks)), wanted, root, dim, title, embedding_model, extra, counts)
+    unique = unique_chunks(chunks)
+    embedded = with_stored_vectors(unique, root, dim, embed, embedding_model) if reuse else embed(unique)
+    return publish(embedded, wanted, root, dim, title, embedding_model, extra, counts)

@@ -417,6 +417,10 @@ run_labelled AS (
             SELECT id, document_id, source, chunk_index, content_hash, '{{"lang":"' || lang || '"}}' AS chunk_metadata,
                    'second' AS title, '{{"kind":"prose","n_nodes":' || n_nodes || '}}' AS doc_metadata, {DIM} AS dim
             FROM kept""",
+        "s6_publish_changes": f"""WITH {_PUBLISHED},
+            known AS (SELECT DISTINCT source, {_hash('text')} AS content_hash FROM documents WHERE lang <> 'fr')
+            SELECT id, document_id, source, chunk_index, content_hash, k.content_hash IS NOT NULL AS carried
+            FROM kept LEFT JOIN known k USING (source, content_hash)""",
         "s7_snapshot": f"WITH {_PUBLISHED} SELECT id AS chunk_id, source, content AS chunk_text FROM kept",
         "s7_snapshot_one_source": f"""WITH {_PUBLISHED} SELECT id AS chunk_id, source, content AS chunk_text FROM kept
             WHERE source = '{SOURCE}'""",

@@ -41,7 +41,7 @@ CHUNKS = _struct(
     chunk_metadata=_S,
     created_at=_TS,
 )
-# One appended row per published source; the highest version is the current one.
+# One appended row per source that a version replaces; the version of the source's last commit is the current one.
 MANIFEST = _struct(source=_S, version=T.LongType(), folder=_S)
 
 # Layouts of labelled CSV files, by name.

@@ -29,7 +29,7 @@ _SHARED_BY_ALL = "local"  # masters whose executors run on the driver's machine
 _staged: list[tuple[SparkSession, str]] = []
 
 
-def _file_system(spark: SparkSession, folder: str):
+def file_system(spark: SparkSession, folder: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
 
@@ -48,7 +48,7 @@ def shared_folder(spark: SparkSession) -> str:
         if not master.startswith(_SHARED_BY_ALL):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         root = tempfile.mkdtemp(prefix="quarryline-")
-    check_shared(_file_system(spark, root)[1].getUri().getScheme(), master, root)
+    check_shared(file_system(spark, root)[1].getUri().getScheme(), master, root)
     folder = f"{root.rstrip('/')}/quarryline-{uuid.uuid4().hex}"
     _staged.append((spark, folder))
     return folder
@@ -59,7 +59,7 @@ def drop_staged(since: int = 0) -> None:
     while len(_staged) > since:
         spark, folder = _staged.pop()
         with contextlib.suppress(Exception):  # the session may be gone, and what it left is not worth a failure
-            path, system = _file_system(spark, folder)
+            path, system = file_system(spark, folder)
             system.delete(path, True)
 
 

@@ -1,9 +1,11 @@
 import json
+import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from quarryline.operators import chunking
+from quarryline.operators import chunking, embedding
 from quarryline.plans import ingest
 from quarryline.sources import files, store
 
@@ -95,6 +97,101 @@ def test_a_failed_publish_is_invisible(spark, tmp_path):
     assert _content(spark, root) == [("a", 0, "w")] and store.read_documents(spark, root).count() == 1
 
 
+def _one(spark, source, *texts):
+    return spark.createDataFrame([(source, i, t, [1.0, float(i)], "{}") for i, t in enumerate(texts)], CHUNK)
+
+
+def test_two_writers_do_not_mix(spark, tmp_path):
+    """Both write at the same time; the later commit wins as a whole, and other sources stay."""
+    root = str(tmp_path)
+    store.publish(_one(spark, "a", "old").union(_one(spark, "b", "kept")), ["a", "b"], root, 2)
+    first = store.prepare(_one(spark, "a", "x", "y"), ["a"], root, 2)
+    second = store.prepare(_one(spark, "a", "z"), ["a"], root, 2)
+    assert _content(spark, root) == [("a", 0, "old"), ("b", 0, "kept")]
+    assert store.commit(spark, second) == 2 and _content(spark, root) == [("a", 0, "z"), ("b", 0, "kept")]
+    assert store.commit(spark, first) == 3 and _content(spark, root) == [("a", 0, "x"), ("a", 1, "y"), ("b", 0, "kept")]
+
+
+def test_a_taken_number_is_tried_again(spark, tmp_path, monkeypatch):
+    """Somebody commits between the look at the folder and the own commit file."""
+    root = str(tmp_path)
+    mine, theirs = (store.prepare(_one(spark, s, s), [s], root, 2) for s in ("mine", "theirs"))
+    put, late = store._put_if_absent, []
+
+    def slow(*args):
+        if not late:
+            late.append(True)
+            assert store.commit(spark, theirs) == 1
+        return put(*args)
+
+    monkeypatch.setattr(store, "_put_if_absent", slow)
+    assert store.commit(spark, mine, based_on=0) == 2
+    assert _content(spark, root) == [("mine", 0, "mine"), ("theirs", 0, "theirs")]
+    assert not [f for f in os.listdir(tmp_path / "commits") if not f.endswith((".json", ".crc"))]
+
+
+def test_conflict(spark, tmp_path):
+    root = str(tmp_path)
+    store.publish(_one(spark, "a", "x"), ["a"], root, 2)
+    base = store.last_commit(spark, root)
+    mine = store.prepare(_one(spark, "a", "mine"), ["a"], root, 2)
+    other = store.prepare(_one(spark, "b", "other"), ["b"], root, 2)
+    store.publish(_one(spark, "a", "theirs"), ["a"], root, 2, based_on=base)
+    with pytest.raises(store.PublishConflict, match="'a'"):
+        store.commit(spark, mine, based_on=base)
+    store.commit(spark, other, based_on=base)  # another source is no conflict
+    assert _content(spark, root) == [("a", 0, "theirs"), ("b", 0, "other")]
+
+
+def test_sweep(spark, tmp_path):
+    root = str(tmp_path)
+    folders = lambda: {(t, *p.parts[-2:]) for t in ("chunks", "documents") for p in (tmp_path / t).glob("source=*/version=*")}
+    store.publish(_one(spark, "a/b c", "x").union(_one(spark, "b", "y")), ["a/b c", "b"], root, 2)
+    first = folders()
+    reader = store.read_chunks(spark, root)  # planned before the next publish
+    store.publish(_one(spark, "a/b c", "x2"), ["a/b c"], root, 2)
+    lost = store.prepare(_one(spark, "b", "never committed"), ["b"], root, 2)
+    every = folders()
+    assert store.sweep(spark, root, 3600) == [] and folders() == every
+    assert sorted(r.content for r in reader.collect()) == ["x", "y"]
+    gone = store.sweep(spark, root, 3600, now=time.time() + 7200)
+    current = {f for f in first if f[1] == "source=b"} | {f for f in every - first if not f[2].endswith(str(lost.version))}
+    assert len(gone) == 4 and folders() == current
+    assert _content(spark, root) == [("a/b c", 0, "x2"), ("b", 0, "y")]
+    assert store.read_documents(spark, root).count() == 2
+
+
+def test_only_changes_are_embedded(spark, tmp_path):
+    docs = lambda *rows: spark.createDataFrame([(f"{s}::{p}", s, p, t) for s, p, t in rows], "doc_id string, source string, relative_path string, text string")
+    asked = spark.sparkContext.accumulator(0)
+
+    def model():
+        def run(texts):
+            asked.add(len(texts))
+            return [[float(len(t)), 1.0] for t in texts]
+
+        return run
+
+    embed = lambda df: embedding.embed_with(df, "content", model)
+    chunker = lambda d: chunking.chunk_corpus(d, inject_context=False)
+    go = lambda root, rows, **how: ingest.ingest(docs(*rows), root, 2, chunker, embed, **{"embedding_model": "m", "reuse": True, **how})
+    before = [("s", "a", "## H\none\n## G\ntwo"), ("s", "b", "## H\none"), ("t", "a", "## H\none")]
+    after = [("s", "a", "## H\none\n## G\nchanged"), ("s", "c", "## H\nthree"), ("t", "a", "## H\none")]
+    go(str(tmp_path / "x"), before)
+    assert asked.value == 3  # s: one, two; t: one
+    go(str(tmp_path / "x"), before)
+    assert asked.value == 3
+    go(str(tmp_path / "x"), after)
+    assert asked.value == 5
+    go(str(tmp_path / "y"), after, reuse=False)
+    columns = ["id", "document_id", "chunk_index", "content", "content_hash", "embedding", "chunk_metadata", "source"]
+    same = [sorted(map(str, store.read_chunks(spark, str(tmp_path / r)).select(columns).collect())) for r in "xy"]
+    assert same[0] == same[1]
+    count = asked.value
+    go(str(tmp_path / "x"), after, embedding_model="other")  # another model's vectors are not reused
+    assert asked.value == count + 4
+
+
 def test_snapshot_needs_a_document_with_a_source(spark):
     chunks = spark.createDataFrame([("1", "d1", "t", [1.0]), ("2", "d2", "t", [1.0]), ("3", "d3", "t", [1.0])],
                                    "id string, document_id string, content string, embedding array<double>")
