@@ -46,32 +46,43 @@ def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def integrity_report(chunks: DataFrame, documents: DataFrame) -> DataFrame:
     """(check_name, key, n): null columns, repeated unique keys, chunks without a document.
 
-    Unique keys with a null in them never collide. Orphans are counted per document first, so a document that
+    One pass over the chunks: all counts are grouping sets of one aggregate. Unique keys with a null in them never collide. Orphans are counted per document first, so a document that
     owns much of the table is one row in the join.
     """
-    required = ("id", "document_id", "chunk_index", "content", "embedding")
-    counts = chunks.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in required])
-    nulls = counts.select(F.explode(F.create_map(*[x for c in required for x in (F.lit(c), F.col(c))]))).select(
-        F.lit("null").alias("check_name"), F.col("key"), F.col("value").alias("n")
+    required, col = ("id", "document_id", "chunk_index", "content", "embedding"), F.col
+    # Texts and vectors stay where they are: only whether they are there is counted.
+    slim = chunks.select(
+        "document_id", "chunk_index", "content_hash", *[col(c).isNull().cast("bigint").alias(f"_no_{c}") for c in required]
+    )
+    sets = [["document_id", "chunk_index"], ["document_id", "content_hash"], ["document_id"], []]
+    counted = slim.groupingSets([[col(c) for c in one] for one in sets], "document_id", "chunk_index", "content_hash").agg(
+        F.count("*").alias("n"), F.grouping_id().alias("_set"), *[F.sum(f"_no_{c}").alias(f"_no_{c}") for c in required]
     )
 
-    def repeats(name: str, *keys: str) -> DataFrame:
-        complete = chunks.dropna(subset=list(keys))
-        return repeated_keys(complete, keys).select(
-            F.lit(name).alias("check_name"), F.concat_ws("|", *[F.col(k).cast("string") for k in keys]).alias("key"), "n"
+    def finding(when: Column, name: str, key: Column, n: Column, owner: Column | None = None) -> Column:
+        owner = F.lit(None) if owner is None else owner
+        row = F.struct(F.lit(name).alias("check_name"), key.alias("key"), n.alias("n"), owner.cast("string").alias("owner"))
+        return F.when(when, row)
+
+    def pair(second: str) -> Column:
+        return F.concat_ws("|", *[col(c).cast("string") for c in ("document_id", second)])
+
+    # The number of a grouping has a bit for each column that it leaves out.
+    by_index, by_hash, by_document, whole = (col("_set") == n for n in (0b001, 0b010, 0b011, 0b111))
+    known, repeated = col("document_id").isNotNull(), col("n") > 1
+    found = F.array_compact(
+        F.array(
+            finding(by_index & known & col("chunk_index").isNotNull() & repeated, "repeated_index", pair("chunk_index"), col("n")),
+            finding(by_hash & known & col("content_hash").isNotNull() & repeated, "repeated_hash", pair("content_hash"), col("n")),
+            finding(by_document & known, "orphan", col("document_id").cast("string"), col("n"), col("document_id")),
+            *[finding(whole & (col(f"_no_{c}") > 0), "null", F.lit(c), col(f"_no_{c}")) for c in required],
         )
-
-    owners = chunks.where(F.col("document_id").isNotNull()).groupBy("document_id").agg(F.count("*").alias("n"))
-    known = documents.select(F.col("id").alias("document_id"))
-    orphans = owners.join(known, "document_id", "left_anti").select(
-        F.lit("orphan").alias("check_name"), F.col("document_id").alias("key"), "n"
-    )
-    return (
-        nulls.where(F.col("n") > 0)
-        .unionByName(repeats("repeated_index", "document_id", "chunk_index"))
-        .unionByName(repeats("repeated_hash", "document_id", "content_hash"))
-        .unionByName(orphans)
     )
+    rows = counted.select(F.explode(found).alias("f")).select("f.*")
+    # Only what might be an orphan can meet a document; the other findings spread by their own keys.
+    owners = documents.select(col("id").cast("string").alias("_key")).distinct().withColumn("_known", F.lit(True))
+    met = rows.withColumn("_key", F.coalesce("owner", F.concat_ws("|", "check_name", "key"))).join(owners, "_key", "left")
+    return met.where(col("owner").isNull() | col("_known").isNull()).select("check_name", "key", "n")
 
 
 def _sound(dim: int, embedding: str) -> Column:

@@ -89,3 +89,16 @@ def test_repeated_query_ids_are_an_error(spark):
     queries = spark.createDataFrame([("q", "a"), ("q", "b")], "query_id string, query_text string")
     with pytest.raises(ValueError):
         embedding.embed_queries(queries, lambda df: df)
+
+
+def test_integrity_report_reads_the_chunks_once(spark, tmp_path):
+    rows = [("1", "d", 0, "x", "h", [1.0]), ("2", "d", 0, "y", "h", None), ("3", None, 0, "z", "h", [1.0]), ("3", None, 0, None, None, [1.0])]
+    schema = "id string, document_id string, chunk_index long, content string, content_hash string, embedding array<double>"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "chunks"))
+    report = integrity.integrity_report(spark.read.parquet(str(tmp_path / "chunks")), spark.createDataFrame([("e",)], "id string"))
+    assert report._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert sorted(map(tuple, report.collect())) == [
+        ("null", "content", 1), ("null", "document_id", 2), ("null", "embedding", 1), ("orphan", "d", 2), ("repeated_hash", "d|h", 2),
+        ("repeated_index", "d|0", 2),
+    ]
+    assert integrity.integrity_report(spark.createDataFrame([], schema), spark.createDataFrame([], "id string")).count() == 0
