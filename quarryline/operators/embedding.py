@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.ml.feature import CountVectorizerModel, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -13,6 +14,7 @@ from pyspark.sql import types as T
 
 from quarryline.functions.text import tokens
 from quarryline.operators.integrity import require_unique
+from quarryline.session import stage
 
 Model = Callable[[list[str]], Sequence[Sequence[float]]]
 
@@ -42,6 +44,46 @@ def embed_with(
     return df.withColumn(out, run(F.col(text)))
 
 
+def embed_once(
+    df: DataFrame,
+    text: str,
+    make_model: Callable[[], Model],
+    folder: str,
+    model: str,
+    rounds: int = 16,
+    batch_size: int = 99,
+    out: str = "embedding",
+) -> DataFrame:
+    """``embed_with`` that resumes: vectors are kept in ``folder`` by content hash and ``model`` (a name), and only texts
+    that have none yet go to the model, each different text once.
+
+    The missing texts are embedded in ``rounds``, and every round is committed by itself, so a job that fails keeps what the
+    rounds before it have made, and the next call goes on from there. A null text gets a null vector. Rows that share a text
+    share its vector. Writers that run at the same time may both embed a text; one of the vectors is used.
+    """
+    spark, name = df.sparkSession, model.encode().hex()
+    path, schema = f"{folder}/model={name}", "_hash string, _vector array<float>"
+    keyed = df.withColumn("_hash", F.sha2(F.col(text), 256))
+    texts = keyed.where(F.col(text).isNotNull()).groupBy("_hash").agg(F.first(text).alias("_text"))
+    try:
+        texts = texts.join(spark.read.schema(schema).parquet(path).select("_hash"), "_hash", "left_anti")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+    left = stage(texts)
+    for n in range(rounds) if not left.isEmpty() else ():
+        part = left.where(F.pmod(F.xxhash64("_hash"), F.lit(rounds)) == n)
+        embed_with(part, "_text", make_model, batch_size, "_vector").select("_hash", "_vector").write.mode("append").parquet(path)
+    try:
+        known = spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        known = spark.createDataFrame([], schema)  # not a single text yet
+    vectors = known.groupBy("_hash").agg(F.min("_vector").alias(out))
+    return keyed.join(vectors, "_hash", "left").select(*df.columns, out)
+
+
 def token_bucket(token: Column, dim: int) -> Column:
     """Bucket of a token: the first 32 bits of its MD5, modulo ``dim``."""
     return F.conv(F.substring(F.md5(token), 1, 8), 16, 10).cast("bigint") % dim

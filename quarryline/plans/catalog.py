@@ -508,6 +508,15 @@ def e1(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("doc_id", F.col("embedding")[0].cast("double").alias("e0"), F.col("embedding")[1].cast("double").alias("e1"))
 
 
+@query("e1_resumed_embedding")
+def e1_resumed(spark: SparkSession, sf: str) -> DataFrame:
+    """A first job embeds the English documents, a second one what is left of all of them."""
+    docs, folder = table(spark, sf, "documents").select("doc_id", "text", "lang"), shared_folder(spark)
+    embedding.embed_once(docs.where("lang = 'en'"), "text", _size_model, folder, "size", 4)
+    rows = embedding.embed_once(docs, "text", _size_model, folder, "size", 4)
+    return rows.select("doc_id", F.col("embedding")[0].cast("double").alias("e0"), F.col("embedding")[1].cast("double").alias("e1"))
+
+
 def _entries(rows: DataFrame, key: str) -> DataFrame:
     entries = rows.select(key, F.posexplode_outer("embedding").alias("bucket", "weight"))
     return entries.where("weight <> 0").select(key, "bucket", F.round(F.col("weight").cast("double"), 6).alias("weight"))

@@ -601,6 +601,6 @@ run_labelled AS (
     # Other ways to the same rows.
     same = {
         "c11_long_documents": "c11_chunk_corpus", "v4_postings_by_token": "v4_postings", "v5_postings_topk": "v5_bm25_topk",
-        "v5_postings_one_source": "v5_bm25_one_source",
+        "v5_postings_one_source": "v5_bm25_one_source", "e1_resumed_embedding": "e1_model_embedding",
     }
     return sql | {name: sql[other] for name, other in same.items()}
