@@ -7,10 +7,13 @@ winners is looked up last.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarryline.operators.scale import small_join, top_k
@@ -58,6 +61,17 @@ class Best:
         return pa.Table.from_arrays(columns, schema=_SCHEMA)
 
 
+def in_blocks(scans: Iterable[DataFrame], blocks: int, spark: SparkSession) -> DataFrame:
+    """The rows found by the scans of all blocks of queries. With several blocks each is staged before the next one is
+    fetched, so the driver holds one block at a time, and the broadcast of a staged one is free to be cleaned up."""
+    found = []
+    for scan in scans:
+        if blocks == 1:
+            return scan
+        found.append(stage(scan))
+    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], FOUND)
+
+
 def slim(chunks: DataFrame) -> DataFrame:
     """Adds a text ``chunk_id`` and a ``source`` (null where chunks have none): together they name a chunk."""
     source = F.col("source").cast("string") if "source" in chunks.columns else F.lit(None).cast("string")

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -23,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarryline.operators.integrity import require_unique
-from quarryline.operators.nearest import FOUND, Best, merge, slim, with_texts
+from quarryline.operators.nearest import FOUND, Best, in_blocks, merge, slim, with_texts
 from quarryline.operators.scale import BROADCAST_BYTES, measure
 
 _CELLS_AT_ONCE = 4_000_000  # distances held by a task at a time
@@ -133,10 +132,8 @@ def _search(chunks: DataFrame, texts: DataFrame, queries: DataFrame, asked: Data
     rows, size = measure(queries)
     blocks = max(1, min(-(-size // max(bound, 1)), rows))
     block = F.pmod(F.xxhash64("query_id", "param_value"), F.lit(blocks))
-    scans = [s for n in range(blocks) if (s := _scan(chunks, queries.where(block == n), k)) is not None]
-    if not scans:
-        scans = [chunks.sparkSession.createDataFrame([], FOUND)]
-    return with_texts(merge(reduce(DataFrame.unionByName, scans), k), texts, asked).withColumnRenamed("cost", "dist")
+    scans = (s for n in range(blocks) if (s := _scan(chunks, queries.where(block == n), k)) is not None)
+    return with_texts(merge(in_blocks(scans, blocks, chunks.sparkSession), k), texts, asked).withColumnRenamed("cost", "dist")
 
 
 def _as_hits(found: DataFrame, run_name: Column) -> DataFrame:

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from quarryline.operators import nearest
 from quarryline.operators import vector as V
 
 
@@ -118,3 +119,19 @@ def test_only_probed_cells_are_read(spark, tmp_path):
     asked = V._nearest_cells(V._query_side(queries.limit(1), [1]), index.centroids)
     scan = V._scan(V._chunk_side(index.chunks, None, F.col("cell")), asked, 5)
     assert "PartitionFilters: [isnotnull(cell" in scan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_one_block_of_queries_at_a_time(spark):
+    """The next block is fetched only when the one before is staged."""
+    alive = []
+
+    def scans():
+        for n in range(4):
+            assert len(alive) <= 1  # what is not staged yet
+            alive.append(n)
+            frame = spark.range(1).selectExpr(f"'q{n}' AS query_id", "0 AS param_value", "0D AS cost", "'c' AS chunk_id", "string(null) AS source")
+            yield frame
+            alive.pop()
+
+    assert sorted(r.query_id for r in nearest.in_blocks(scans(), 4, spark).collect()) == ["q0", "q1", "q2", "q3"]
+    assert nearest.in_blocks(iter([]), 3, spark).count() == 0
