@@ -12,11 +12,14 @@ Executors import this module, so ship the package (``--py-files``) where they do
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
+import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +31,8 @@ from quarryline.llm.rows import slices, texts
 # The splitting pattern of byte-level vocabularies, used where a file only says "use_regex".
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 MEMO_ENTRIES = 500_000  # words remembered by a worker process; it starts afresh beyond that
+MARKS = frozenset(".,;:!?")  # a word of ASCII letters that ends in one of them is split without the pattern
+HANGING = re.compile(r" (?=\s|\Z)")  # in a text with a piece that ``_hangs``
 Unit = str | tuple[str]  # see Bpe._units
 _NONE = np.int32(2**31 - 1)  # rank of a pair that is no merge
 
@@ -137,15 +142,30 @@ class Bpe:
         """Put the ids of units into the memo."""
         if not units:
             return
-        found = [self.words.findall(self._plain(unit)) for unit in units]
-        new = [w for w in {w for words in found for w in words} if w not in self.word_memo]
+        # Words of ASCII letters, alone or before one mark, are split without the pattern, which gives the same.
+        plain, marked, other = [], [], []
+        for u in units:
+            kind = other
+            if isinstance(u, str) and u.isascii():
+                if u.isalpha():
+                    kind = plain
+                elif u[-1:] in MARKS and u[:-1].isalpha():
+                    kind = marked
+            kind.append(u)
+        word = " {}".format if self.spaced else str.lower
+        plain_words, marked_words = list(map(word, plain)), [word(u[:-1]) for u in marked]
+        found = [self.words.findall(self._plain(u)) for u in other]
+        words = {*plain_words, *marked_words, *(u[-1] for u in marked), *chain.from_iterable(found)}
+        new = [w for w in words if w not in self.word_memo]
         if new:
             ids, lengths = self.merge([w.encode() for w in new])
             packed = ids.astype("<u2").tobytes()
             bounds = np.concatenate([[0], np.cumsum(lengths) * 2]).tolist()
             self.word_memo.update(zip(new, map(packed.__getitem__, map(slice, bounds, bounds[1:]))))
         know = self.word_memo.__getitem__
-        self.memo.update(zip(units, [know(w[0]) if len(w) == 1 else b"".join(map(know, w)) for w in found]))
+        self.memo.update(zip(plain, map(know, plain_words)))
+        self.memo.update((u, know(w) + know(u[-1])) for u, w in zip(marked, marked_words))
+        self.memo.update(zip(other, [know(w[0]) if len(w) == 1 else b"".join(map(know, w)) for w in found]))
 
     def _plain(self, unit: Unit) -> str:
         """The text that a unit stands for: see ``_units``."""
@@ -176,6 +196,16 @@ class Bpe:
         return out
 
     def encode(self, batch: list[str]) -> list[bytes]:
+        """Packed ids of each text. Nothing made here is cyclic, so the collector rests meanwhile."""
+        collects = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encode(batch)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _encode(self, batch: list[str]) -> list[bytes]:
         if len(self.memo) > MEMO_ENTRIES:
             self.memo.clear()
         if len(self.word_memo) > MEMO_ENTRIES:
@@ -192,7 +222,7 @@ class Bpe:
                 units = self._units(piece)
                 if None in (known := list(map(know, units))):
                     new = [u for u, ids in zip(units, known) if ids is None]
-                    if self.spaced and any(map(_hangs, new)):  # such pieces never get into the memo
+                    if self.spaced and HANGING.search(piece):  # such pieces never get into the memo
                         new = units = self._joined(units)
                         known = [None] * len(units)
                     missing.update(dict.fromkeys(new))

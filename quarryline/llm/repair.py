@@ -12,7 +12,8 @@ The file format is a Parquet folder with one row per shard, in ascending documen
 
 A rule never spans two documents, so a document is decoded from its own symbols alone. Re-Pair runs in rounds: every
 pair at least as frequent as the round's threshold becomes a rule, the more frequent pair wins where two overlap, and
-the threshold falls from round to round. Spark's committed Parquet write makes shards appear whole or not at all.
+the threshold falls from round to round until it is ``LEAST``. Rounds end when no pair stands in ``LEAST`` places, or when
+symbols of 16 bits run out. Spark's committed Parquet write makes shards appear whole or not at all.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ def compress(ids: np.ndarray, last: np.ndarray, terminals: int) -> tuple[np.ndar
     """(symbols, last, rules) of a sequence of ids below ``terminals``; ``last`` marks the last id of each document."""
     symbols, last, rules, known = ids.astype(np.uint32), last.copy(), [], terminals
     threshold = 0
-    while known < SYMBOLS and len(symbols) > 1 and (threshold == 0 or threshold > LEAST):
+    while known < SYMBOLS and len(symbols) > 1:
         key = symbols[:-1] << np.uint32(16) | symbols[1:]
         inside = ~last[:-1]
         # Exact counts only for pairs whose hash bucket is full enough; a bucket never counts too little.
@@ -52,6 +53,8 @@ def compress(ids: np.ndarray, last: np.ndarray, terminals: int) -> tuple[np.ndar
         pairs, counts = pairs[counts >= threshold], counts[counts >= threshold]
         best = np.argsort(-counts, kind="stable")[: SYMBOLS - known]
         if not len(best):
+            if threshold == LEAST:
+                break
             continue
         rank = np.empty(len(pairs), np.int64)
         rank.fill(SYMBOLS)
@@ -204,11 +207,40 @@ def read_ids(spark: SparkSession, folder: str, digest: bool = False) -> DataFram
     return placed.select("doc_id", (F.col("_base") + F.col("_inside")).alias("start"), "n_tokens", out[0])
 
 
-def decode_document(row, number: int) -> np.ndarray:
-    """Random access: the ids of document ``number`` of a shard row, from its own symbols alone."""
-    start = sum(row["symbol_counts"][:number])
-    symbols = np.frombuffer(row["symbols"], "<u2")[start : start + row["symbol_counts"][number]]
-    return expand(symbols, np.frombuffer(row["rules"], "<u2").reshape(-1, 2), row["terminals"])
+def decode_document(row, number: int, first: int = 0, n: int | None = None) -> np.ndarray:
+    """Random access: ids ``first`` to ``first + n`` (default: to the end) of document ``number`` of a shard row.
+
+    The stored lengths say which symbols reach into the range; only these are expanded, level by level, so no rule is
+    read that the range does not need.
+    """
+    at, terminals = sum(row["symbol_counts"][:number]), row["terminals"]
+    symbols = np.frombuffer(row["symbols"], "<u2")[at : at + row["symbol_counts"][number]].astype(np.int64)
+    rules = np.frombuffer(row["rules"], "<u2").reshape(-1, 2)
+    rule_lengths = np.frombuffer(row["rule_lengths"], "<u4")
+
+    def lengths(symbols: np.ndarray) -> np.ndarray:
+        out = np.ones(len(symbols), np.int64)
+        rule = symbols >= terminals
+        out[rule] = rule_lengths[symbols[rule] - terminals]
+        return out
+
+    size = lengths(symbols)
+    start = np.cumsum(size) - size
+    stop = int(size.sum()) if n is None else first + n
+    while True:
+        reach = (start < stop) & (start + size > first)
+        symbols, start = symbols[reach], start[reach]
+        rule = symbols >= terminals
+        if not rule.any():
+            return symbols.astype(np.uint16)
+        left, right = rules[symbols[rule] - terminals].T.astype(np.int64)
+        slot = np.cumsum(1 + rule) - 1  # where the symbol, or the right half of its rule, goes
+        wide_symbols, wide_start = np.empty(len(symbols) + len(left), np.int64), np.empty(len(symbols) + len(left), np.int64)
+        wide_symbols[slot], wide_start[slot] = symbols, start
+        wide_symbols[slot[rule]], wide_start[slot[rule]] = right, start[rule] + lengths(left)
+        wide_symbols[slot[rule] - 1], wide_start[slot[rule] - 1] = left, start[rule]
+        symbols, start = wide_symbols, wide_start
+        size = lengths(symbols)
 
 
 def round_trip(docs: DataFrame, path: str, end_id: int = 2) -> DataFrame:

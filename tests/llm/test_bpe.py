@@ -10,6 +10,7 @@ ODD = [
     "", " ", "  ", "a", " a", "a ", "a  b", "a \n b", "\n\nfoo  bar\n", "a\n b", "aaa aaaa aaaaa", "don't we'll I'VE", "x<|endoftext|>y",
     "a  <|endoftext|>  b", "<|startoftext|>hi<|endoftext|>", "Éàü ß ñ 中文字 🙂🙂 é ΣΑΣ İ", "1234567 8.9", "\t\tx y　z",
     " ́x", "a\x1cb \x85 c", "!!! ??? ...---", "word " * 3000, "z" * 5000, "ab" * 2000, "<| x |>", "line\r\nline\r\n",
+    "One, two. Three; four: five! Six? it's, a.b .c, d,, É, x1. 9, ª.", "Wörd, word,\nword. end.", " , . ; a,",
 ]
 
 

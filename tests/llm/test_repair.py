@@ -32,6 +32,54 @@ def test_nothing_repeats():
     assert len(repair.expand(symbols[:0], rules, 200)) == 0
 
 
+def test_phrases_to_the_end():
+    """While rules are free, no pair of symbols stands in ``LEAST`` places of one shard."""
+    rng = np.random.default_rng(1)
+    phrases = rng.integers(0, 40_000, (60, 40)).astype(np.uint16)
+    ids = phrases[rng.integers(0, 60, 6_000)].ravel()
+    last = np.zeros(len(ids), bool)
+    last[999::1000] = True
+    symbols, closed, rules = repair.compress(ids, last, 40_000)
+    assert 40_000 + len(rules) < repair.SYMBOLS
+    assert (repair.expand(symbols, rules, 40_000) == ids).all()
+    key = (symbols[:-1].astype(np.uint32) << 16 | symbols[1:])[~closed[:-1]]
+    pairs, counts = np.unique(key, return_counts=True)
+    same = (pairs >> 16) == (pairs & 0xFFFF)  # places of one symbol in a row overlap
+    assert counts[~same].max(initial=0) < repair.LEAST and len(symbols) < len(ids) / 8
+
+
+def test_random_access_reads_only_its_rules():
+    rng = np.random.default_rng(3)
+    ids = rng.integers(0, 6, 40_000).astype(np.uint16)
+    last = np.arange(len(ids)) % 8000 == 7999
+    symbols, closed, rules = repair.compress(ids, last, 10)
+    lengths = np.ones(10 + len(rules), np.uint32)
+    for k, (a, b) in enumerate(rules.tolist()):
+        lengths[10 + k] = lengths[a] + lengths[b]
+    counts = np.diff(np.flatnonzero(closed), prepend=-1).tolist()
+    row = {"symbol_counts": counts, "symbols": symbols.tobytes(), "terminals": 10, "rule_lengths": lengths[10:].astype("<u4").tobytes()}
+    for number, first, n in [(0, 0, None), (4, 0, None), (2, 5000, 7), (2, 7999, 1), (1, 0, 1), (3, 100, 0), (3, 7990, 100)]:
+        stop = 8000 if n is None else min(first + n, 8000)
+        expected = ids[8000 * number + first : 8000 * number + stop]
+        assert (repair.decode_document({**row, "rules": rules.tobytes()}, number, first, n) == expected).all()
+    # All rules that the range of (2, 5000, 7) does not reach into may be anything.
+    own = symbols[sum(counts[:2]) : sum(counts[:3])].tolist()
+    needed, todo, at = set(), [], 0
+    for s in own:
+        todo.append((s, at))
+        at += int(lengths[s])
+    while todo:
+        s, at = todo.pop()
+        if s >= 10 and at < 5007 and at + int(lengths[s]) > 5000:
+            needed.add(s - 10)
+            a, b = rules[s - 10].tolist()
+            todo += [(a, at), (b, at + int(lengths[a]))]
+    poisoned = np.full_like(rules, 0xFFFF)
+    poisoned[sorted(needed)] = rules[sorted(needed)]
+    assert 0 < len(needed) < len(rules) / 4
+    assert (repair.decode_document({**row, "rules": poisoned.tobytes()}, 2, 5000, 7) == ids[21_000:21_007]).all()
+
+
 def test_documents(spark, tmp_path):
     rng = random.Random(2)
     texts = ["The end, " * rng.randint(0, 400) for _ in range(300)] + ["", None, "same", "same"]
