@@ -8,8 +8,10 @@ and are verified by their cosine in double precision, in tiles (see ``links``).
 
 The defaults (268 million filters, for 64 dimensions about 54 passed by a vector) find a pair at the threshold with a
 probability above 0.98 (tests measure recall against brute force), and unrelated vectors hardly ever meet. Inner products
-shrink as vectors get wider: beyond ``CAP_WIDTH`` dimensions the cap is derived, so that random vectors pass ``PASSED``
-filters on average. A vector that passes none is compared with all vectors of its label and width, block by block.
+grow as vectors get narrower and shrink as they get wider: for every width but ``CAP_WIDTH`` the cap is derived, so that random
+vectors pass ``PASSED`` filters on average (``PASSED_NARROW`` below that width, where close pairs share more of them). In few dimensions so many filters
+lie so densely that their caps would be smaller than the angle sought: code words are halved until the cap is ``CAP_MOST``. A vector that passes none is compared with all vectors of its label and width,
+block by block.
 
 Vectors that are null, empty, zero or hold null or non-finite components, and rows without a label or id, are linked to
 nothing. Vectors of different widths never link. Equal vectors of one label are one item with copies.
@@ -18,6 +20,7 @@ nothing. Vectors of different widths never link. Equal vectors of one label are
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,11 +32,19 @@ from quarryline.session import stage
 
 THRESHOLD = 0.93
 CODE_WORDS, ROTATIONS, CAP = 4096, 16, 0.58
-CAP_WIDTH = 64  # CAP is for vectors up to so wide
+CAP_WIDTH = 64  # CAP is for vectors of this width
 PASSED = 150  # filters that a wider vector passes on average: with fewer, recall falls below that of 64 dimensions
+PASSED_NARROW = 60  # the same for narrower ones
+CAP_MOST = 0.85  # a cap above is too small for both vectors of a pair: there are fewer code words then
 BLOCK_BYTES = 32 << 20  # of vectors without filters that a task holds at once
 
 
+def _words(drawn: np.ndarray) -> np.ndarray:
+    """Unit code words; in one dimension there are only two."""
+    words = drawn / np.maximum(np.linalg.norm(drawn, axis=1, keepdims=True), 1e-12)
+    return np.unique(words, axis=0) if words.shape[1] == 1 else words
+
+
 class Code:
     """The filters for vectors of one width."""
 
@@ -43,20 +54,21 @@ class Code:
         for _ in range(rotations):
             self.turn.append(np.linalg.qr(rng.normal(size=(width, width)))[0].astype(np.float32))
             halves = [rng.normal(size=(words, len(h))) for h in np.array_split(np.arange(width), 2)]
-            self.books.append([(h / np.maximum(np.linalg.norm(h, axis=1, keepdims=True), 1e-12) / np.sqrt(2)).astype(np.float32).T for h in halves])
+            self.books.append([(_words(h) / np.sqrt(2)).astype(np.float32).T for h in halves])
 
     def usual_cap(self) -> float:
-        """The cap for vectors of this width: ``CAP``, or less where random vectors would pass fewer than ``PASSED`` filters."""
+        """The cap that random vectors of this width reach for ``PASSED`` or ``PASSED_NARROW`` filters on average."""
         turn, (left, right) = self.turn[0], self.books[0]
-        if len(turn) <= CAP_WIDTH:
+        if len(turn) == CAP_WIDTH:
             return CAP
+        wanted = PASSED if len(turn) > CAP_WIDTH else PASSED_NARROW
         turned = _unit(np.random.default_rng(1).normal(size=(256, len(turn)))).astype(np.float32) @ turn
         a, b = turned[:, : left.shape[0]] @ left, np.sort(turned[:, left.shape[0] :] @ right, axis=1)
-        low, high = 0.0, CAP
-        for _ in range(12):
+        low, high = 0.0, 1.0
+        for _ in range(20):
             cap = (low + high) / 2
             n = np.mean([b.shape[1] * len(x) - np.searchsorted(y, cap - x).sum() for x, y in zip(a, b)]) * len(self.turn)
-            low, high = (cap, high) if n > PASSED else (low, cap)
+            low, high = (cap, high) if n > wanted else (low, cap)
         return low
 
     def passed(self, unit: np.ndarray, cap: float) -> list[list[int]]:
@@ -76,6 +88,18 @@ class Code:
         return out
 
 
+@lru_cache(maxsize=8)
+def code_of(width: int, words: int = CODE_WORDS, rotations: int = ROTATIONS) -> tuple[Code, float]:
+    """The filters for vectors of one width and their cap, made once per worker process."""
+    code = Code(width, words, rotations)
+    cap = code.usual_cap()
+    while cap > CAP_MOST and words > 2:
+        words //= 2
+        code = Code(width, words, rotations)
+        cap = code.usual_cap()
+    return code, cap
+
+
 def _unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
@@ -130,7 +154,7 @@ def near_duplicates(
     """(vec_id, n_links, component_id, kept) of every row of ``vectors`` (vec_id, embedding, label).
 
     ``component_id`` is the smallest vec_id reachable by links, ``n_links`` the number of other rows linked directly.
-    Without ``cap`` each width has its own (``Code.usual_cap``).
+    Without ``cap`` each width has its own (``code_of``).
     """
     rows = vectors.select("vec_id", F.col("label"), F.transform("embedding", lambda x: x.cast("double")).alias("v"))
     fit = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
@@ -151,8 +175,7 @@ def near_duplicates(
                 for width in np.unique(widths).tolist():
                     here = np.flatnonzero(widths == width)
                     if width not in codes:
-                        code = Code(width, words, rotations)
-                        codes[width] = code, code.usual_cap() if cap is None else cap
+                        codes[width] = code_of(width, words, rotations) if cap is None else (Code(width, words, rotations), cap)
                     code, least = codes[width]
                     for k, numbers in zip(here.tolist(), code.passed(_unit(np.stack([vectors[k] for k in here])), least)):
                         found[k] = numbers

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from quarryline.llm import caps, jaccard, links
 
@@ -175,6 +176,17 @@ def test_caps_recall_in_wide_vectors():
         assert recall >= 0.98
 
 
+@pytest.mark.parametrize("width", [2, 3, 4, 8, 16, 24, 32, 48])
+def test_caps_recall_in_narrow_vectors(width):
+    """With the defaults close pairs meet, and no vector passes filters without bound."""
+    x, y = pairs_at_threshold(200, width)
+    code, cap = caps.code_of(width)
+    a, b = (code.passed(v / np.linalg.norm(v, axis=1, keepdims=True), cap) for v in (x, y))
+    recall = np.mean([not p or not q or bool(set(p) & set(q)) for p, q in zip(a, b)])  # one without filters is compared with all
+    print(width, cap, recall, np.mean([len(p) for p in a]), max(map(len, a)), sum(not p for p in a))
+    assert recall >= 0.9 and max(map(len, a)) < 20_000
+
+
 def test_caps_vectors_without_filters(spark, monkeypatch):
     """Nothing passes a filter: every pair is found by comparison, in several blocks."""
     monkeypatch.setattr(caps, "BLOCK_BYTES", 20_000)
