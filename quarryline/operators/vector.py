@@ -24,8 +24,10 @@ from pyspark.sql import types as T
 from quarryline.operators.integrity import require_unique
 from quarryline.operators.nearest import FOUND, Best, in_blocks, merge, slim, with_texts
 from quarryline.operators.scale import BROADCAST_BYTES, measure
+from quarryline.session import stage
 
 _CELLS_AT_ONCE = 4_000_000  # distances held by a task at a time
+_SLACK = 1e-8  # distances are rounded, bounds are not
 _DECIMALS = 9  # distances are compared and returned rounded, so that ties do not depend on summation order
 
 
@@ -127,13 +129,18 @@ def _scan(chunks: DataFrame, queries: DataFrame, k: int) -> DataFrame | None:
     return chunks.mapInArrow(nearest, FOUND)
 
 
-def _search(chunks: DataFrame, texts: DataFrame, queries: DataFrame, asked: DataFrame, k: int, query_bytes: int | None) -> DataFrame:
+def _merged(chunks: DataFrame, queries: DataFrame, k: int, query_bytes: int | None) -> DataFrame:
+    """(query_id, param_value, rank, cost, chunk_id, source) of the hits, one block of queries after the other."""
     bound = BROADCAST_BYTES if query_bytes is None else query_bytes
     rows, size = measure(queries)
     blocks = max(1, min(-(-size // max(bound, 1)), rows))
     block = F.pmod(F.xxhash64("query_id", "param_value"), F.lit(blocks))
     scans = (s for n in range(blocks) if (s := _scan(chunks, queries.where(block == n), k)) is not None)
-    return with_texts(merge(in_blocks(scans, blocks, chunks.sparkSession), k), texts, asked).withColumnRenamed("cost", "dist")
+    return merge(in_blocks(scans, blocks, chunks.sparkSession), k)
+
+
+def _search(chunks: DataFrame, texts: DataFrame, queries: DataFrame, asked: DataFrame, k: int, query_bytes: int | None) -> DataFrame:
+    return with_texts(_merged(chunks, queries, k, query_bytes), texts, asked).withColumnRenamed("cost", "dist")
 
 
 def _as_hits(found: DataFrame, run_name: Column) -> DataFrame:
@@ -176,7 +183,7 @@ def exact_sweep(
 
 @dataclass(frozen=True)
 class CellIndex:
-    """Chunks with the number of their nearest centroid in ``cell``, and the centroids."""
+    """Chunks with the number of their nearest centroid in ``cell`` and their distance to it in ``away``, and the centroids."""
 
     chunks: DataFrame
     centroids: np.ndarray
@@ -195,6 +202,14 @@ class CellIndex:
         rows = spark.read.parquet(f"{folder}/centroids").orderBy("cell").collect()
         return CellIndex(spark.read.parquet(f"{folder}/chunks"), np.array([r.centroid for r in rows]))
 
+    def bounds(self, source: str | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Chunks of each cell, and its radius (-1 where it is empty): a scan of two narrow columns, one row per cell."""
+        chunks = self.chunks if source is None else self.chunks.where(F.col("source") == source)
+        count, radius = np.zeros(len(self.centroids), np.int64), np.full(len(self.centroids), -1.0)
+        for r in chunks.groupBy("cell").agg(F.count("*").alias("n"), F.max("away").alias("radius")).collect():
+            count[r.cell], radius[r.cell] = r.n, r.radius
+        return count, radius
+
 
 def build_cells(chunks: DataFrame, cells: int | None = None, seed: int = 0, centroids: np.ndarray | None = None) -> CellIndex:
     """Cells around ``centroids``, or around ``cells`` k-means centres of all usable unit vectors."""
@@ -205,16 +220,19 @@ def build_cells(chunks: DataFrame, cells: int | None = None, seed: int = 0, cent
         centroids = np.array(KMeans(k=cells, seed=seed, featuresCol="_unit").fit(unit).clusterCenters())
     shared = chunks.sparkSession.sparkContext.broadcast(np.asarray(centroids, dtype=float))
 
-    @F.pandas_udf("int")
-    def nearest(vectors: pd.Series) -> pd.Series:
-        out = pd.Series([None] * len(vectors), dtype="Int32")
+    @F.pandas_udf("cell int, away double")
+    def nearest(vectors: pd.Series) -> pd.DataFrame:
+        out = pd.DataFrame({"cell": pd.Series([None] * len(vectors), dtype="Int32"), "away": np.nan})
         batch = _usable(pa.RecordBatch.from_arrays([pa.array(vectors, pa.list_(pa.float64())), pa.array(range(len(vectors)))], names=["embedding", "at"]))
         if batch.num_rows:
-            out.iloc[batch.column("at").to_pylist()] = _away(batch, shared.value).argmin(axis=1)
+            at, cell = batch.column("at").to_pylist(), _away(batch, shared.value).argmin(axis=1)
+            out.loc[at, "cell"] = cell
+            out.loc[at, "away"] = np.linalg.norm(_unit(_matrix(batch.column("embedding"))) - shared.value[cell], axis=1)
         return out
 
-    placed = chunks.withColumn("cell", nearest("embedding")).where(F.col("cell").isNotNull())
-    return CellIndex(placed, np.asarray(centroids, dtype=float))
+    names = [c for c in chunks.columns if c not in ("cell", "away")]
+    placed = chunks.select(*names, nearest("embedding").alias("_place")).select(*names, "_place.cell", "_place.away")
+    return CellIndex(placed.where(F.col("cell").isNotNull()), np.asarray(centroids, dtype=float))
 
 
 def _away(batch: pa.RecordBatch, centroids: np.ndarray) -> np.ndarray:
@@ -259,6 +277,71 @@ def cell_top_k(
     return _as_hits(found, _sweep_name(k))
 
 
+def _cells_within(queries: DataFrame, centroids: np.ndarray, count: np.ndarray, radius: np.ndarray, least: int) -> DataFrame:
+    """``cells`` of each query that may hold a chunk no farther than its ``limit`` (a cosine distance).
+
+    Without a limit: the nearest cells that hold ``least`` chunks together. No chunk of a cell is nearer to a query than the
+    centroid's distance less the cell's radius, and the cosine distance of unit vectors is half their squared distance.
+    """
+    schema = T.StructType(queries.schema.fields + [T.StructField("cells", T.ArrayType(T.IntegerType()))])
+    shared = queries.sparkSession.sparkContext.broadcast((centroids, count, radius))
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centroids, count, radius = shared.value
+        filled = np.flatnonzero(count)
+        for batch in batches:
+            batch = _usable(batch)
+            if not batch.num_rows:
+                continue
+            unit = _unit(_matrix(batch.column("embedding")))
+            out = []
+            for u, limit in zip(unit, batch.column("limit").to_pylist()):
+                distance = np.linalg.norm(centroids[filled] - u, axis=1)
+                if limit is None:
+                    order = np.argsort(distance, kind="stable")
+                    enough = int(np.searchsorted(np.cumsum(count[filled][order]), least)) + 1
+                    out.append(filled[order[:enough]].tolist())
+                else:
+                    nearest = np.maximum(distance - radius[filled], 0)
+                    out.append(filled[nearest**2 / 2 <= limit + _SLACK].tolist())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.list_(pa.int32()))], names=schema.fieldNames())
+
+    return queries.mapInArrow(choose, schema)
+
+
+def cells_to_recall(
+    index: CellIndex,
+    queries: DataFrame,
+    recall: float = 1.0,
+    k: int = 15,
+    source: str | None = None,
+    query_bytes: int | None = None,
+) -> DataFrame:
+    """Search in as many cells as each query needs for a ``recall`` of its own, with ``cells_read`` besides.
+
+    Of the ``k`` nearest chunks of a query the nearest ``recall * k`` (rounded up) are always found; 1.0 is exact search. A first scan of
+    the nearest cells bounds the distance of the last one of these; a second one reads the cells that may hold a nearer
+    chunk, by the triangle inequality. How many these are depends on the data: cells that overlap much are all read.
+    The guarantee counts chunks by rows of the index: it holds where no name repeats.
+    """
+    if not 0 < recall <= 1:
+        raise ValueError(f"recall {recall} is not in (0, 1]")
+    require_unique(queries, ["query_id"])
+    sure = int(np.ceil(round(recall * k, _DECIMALS)))
+    count, radius = index.bounds(source)
+    chunks = _chunk_side(index.chunks, source, F.col("cell"))
+    side = _query_side(queries, [round(100 * recall)])
+    first = _cells_within(side.withColumn("limit", F.lit(None).cast("double")), index.centroids, count, radius, sure)
+    # Fewer hits than asked for: every cell is read.
+    last = _merged(chunks, first, sure, query_bytes).groupBy("query_id").agg(F.count("*").alias("n"), F.max("cost").alias("cost"))
+    limit = last.select("query_id", F.when(F.col("n") == sure, F.col("cost")).otherwise(F.lit(4.0)).alias("limit"))
+    limited = side.join(limit, "query_id", "left").withColumn("limit", F.coalesce("limit", F.lit(4.0))).select(*side.columns, "limit")
+    second = stage(_cells_within(limited, index.centroids, count, radius, sure))
+    found = _search(chunks, _texts(index.chunks, source), second, queries, k, query_bytes)
+    hits = _as_hits(found, F.format_string("cells_r%d_k%d", "param_value", F.lit(k)))
+    return hits.join(second.select("query_id", F.size("cells").alias("cells_read")), "query_id")
+
+
 def recall(found: DataFrame, exact: DataFrame) -> DataFrame:
     """(run_name, param_value, recall): share of the exact hits that an approximate run also has."""
     truth = exact.select("query_id", "chunk_id", F.lit(1).alias("hit"))

@@ -112,6 +112,42 @@ def test_cells(spark, query_bytes, tmp_path):
     assert shares[6] == 1.0 and 0.2 < shares[1] <= 1.0
 
 
+@pytest.mark.parametrize("query_bytes", [None, 300])
+def test_recall_target(spark, query_bytes):
+    """Clusters far apart: a query reads its own cell only, and never loses what it was promised."""
+    rng = np.random.default_rng(4)
+    centres = np.eye(12)[:6]
+    rows = [(f"c{i}", f"t{i}", (centres[i % 6] + rng.normal(0, 0.05, 12)).tolist(), f"s{i % 2}") for i in range(600)]
+    rows += [("none", "t", None, "s0"), ("zero", "t", [0.0] * 12, "s1"), ("twin", "t", rows[0][2], "s0")]
+    chunks = spark.createDataFrame(rows, "chunk_id string, chunk_text string, embedding array<double>, source string").repartition(3)
+    asked = [("near", "x", (centres[2] + 0.02).tolist()), ("between", "y", (centres[0] + centres[1]).tolist()), ("far", "z", np.eye(12)[9].tolist())]
+    queries = spark.createDataFrame(asked, "query_id string, query_text string, embedding array<double>")
+    index = V.build_cells(chunks, centroids=centres)
+    for source in (None, "s0"):
+        exact = {}
+        for r in V.cosine_top_k(chunks, queries, 8, source).collect():
+            exact.setdefault(r.query_id, {})[r.rank] = (r.chunk_id, r.dist)
+        for target, sure in ((1.0, 8), (0.5, 4), (0.01, 1)):
+            found, read = {}, {}
+            for r in V.cells_to_recall(index, queries, target, 8, source, query_bytes).collect():
+                found.setdefault(r.query_id, {})[r.rank] = (r.chunk_id, r.dist)
+                read[r.query_id] = r.cells_read
+            assert {q: len(v) for q, v in found.items()} == {q: 8 for q, _, _ in asked}
+            assert all(found[q][n] == exact[q][n] for q in exact for n in range(1, sure + 1))
+            assert read["near"] == 1 and read["between"] <= 2 and read["far"] <= 6
+
+
+def test_recall_target_with_few_chunks(spark):
+    chunks, queries, rows, asked = _tables(spark)
+    index = V.build_cells(chunks, 6)
+    n = sum(v is not None and any(v) for _, _, v, _ in rows)
+    assert _found(V.cells_to_recall(index, queries, 1.0, n + 5)) == _brute_force(rows, asked, n + 5)
+    assert _found(V.cells_to_recall(index, queries, 1.0, 5)) == _brute_force(rows, asked, 5)
+    assert V.cells_to_recall(index, queries, 1.0, 5, "no such source").isEmpty()
+    with pytest.raises(ValueError):
+        V.cells_to_recall(index, queries, 0.0)
+
+
 def test_only_probed_cells_are_read(spark, tmp_path):
     chunks, queries, _, _ = _tables(spark)
     V.build_cells(chunks, 6).write(str(tmp_path))
