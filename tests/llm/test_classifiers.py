@@ -92,3 +92,35 @@ def test_threshold_covers_all_labels(spark):
         reached = np.cumsum([share / n[0] if q == 0 else (1 - share) / n[1] for _, q in rows])
         at = int(np.searchsorted(reached, share - 1e-12))
         assert abs(model.threshold - (rows[at][0] + rows[at + 1][0]) / 2) < 1e-9
+
+
+def test_ordinal_fit_against_plain_likelihood():
+    """The penalised likelihood, written down grade by grade and minimised by a descent on numeric gradients."""
+    rng = np.random.default_rng(7)
+    words, rows = 4, []
+    for _ in range(250):
+        value = rng.integers(0, 3, words) * 1.0
+        level = value @ [2.0, -1.0, 0.5, 0.0] + rng.logistic()
+        at = np.flatnonzero(value)
+        rows.append((int(level > 1) + int(level > 3), at, value[at]))
+    dense = np.zeros((len(rows), words))
+    for k, (_, at, value) in enumerate(rows):
+        dense[k, at] = value
+    grade = np.array([g for g, _, _ in rows])
+    penalty = 0.3
+
+    def loss(theta):
+        below = [1 / (1 + np.exp(dense @ theta[:words] - cut)) for cut in (theta[words], theta[words] + np.exp(theta[words + 1]))]
+        share = np.where(grade == 0, below[0], np.where(grade == 1, below[1] - below[0], 1 - below[1]))
+        return (-np.log(share).sum() + penalty / 2 * (theta[:words] ** 2).sum()) / len(rows)
+
+    theta, step = np.concatenate([np.zeros(words), [0.0, 0.0]]), 1.0
+    for _ in range(2000):
+        slope = np.array([(loss(theta + e) - loss(theta - e)) / 2e-5 for e in 1e-5 * np.eye(words + 2)])
+        while step > 1e-9 and loss(theta - step * slope) > loss(theta) - step / 2 * slope @ slope:
+            step /= 2
+        theta, step = theta - step * slope, step * 1.5
+    weights, cuts = toxicity.fit(rows, words, penalty)
+    own = np.concatenate([weights, [cuts[0], np.log(cuts[1] - cuts[0])]])
+    assert loss(own) < loss(theta) + 1e-3
+    assert np.abs(own[:words] - theta[:words]).max() < 0.1
