@@ -23,6 +23,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
@@ -32,6 +33,9 @@ from quarryline.llm.rows import slices, texts
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 MEMO_ENTRIES = 500_000  # words remembered by a worker process; it starts afresh beyond that
 MARKS = frozenset(".,;:!?")  # a word of ASCII letters that ends in one of them is split without the pattern
+# Letters that Arrow lower-cases as Python does, that are normal (NFC) in any order, and are one word for the pattern.
+LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ſЀ-џ"
+PLAIN = rf"\A[{LETTERS}]+[.,;:!?]?\z"
 HANGING = re.compile(r" (?=\s|\Z)")  # in a text with a piece that ``_hangs``
 Unit = str | tuple[str]  # see Bpe._units
 _NONE = np.int32(2**31 - 1)  # rank of a pair that is no merge
@@ -53,6 +57,12 @@ def _hangs(piece: Unit) -> bool:
     return not piece or (isinstance(piece, str) and piece[0].isspace())
 
 
+def _spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """``start``, ``start + 1`` and so on for ``size`` places, of all entries in a row."""
+    ends = np.cumsum(size)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - (ends - size), size)
+
+
 class Bpe:
     """One tokenizer file: ``encode`` gives ids as little-endian unsigned 16-bit integers, ``decode`` the text."""
 
@@ -87,6 +97,7 @@ class Bpe:
             self.bytes_of[number] = token.encode()
         self.memo: dict[Unit, bytes] = {}
         self.word_memo: dict[str, bytes] = {}
+        self.table: tuple[pa.Array, np.ndarray, np.ndarray] | None = None  # see _table
 
     # --- merge rounds -----------------------------------------------------------------------------------------------
 
@@ -234,6 +245,79 @@ class Bpe:
             out[number] += b"".join([look(u) if ids is None else ids for u, ids in zip(units, known)])
         return out
 
+    def encode_column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and how many each text has.
+
+        Without ``spaced`` Arrow cuts the texts, numbers the pieces and looks words up, so Python meets only the pieces that are
+        more than letters and a mark. Texts that may hold a special token, and other files, go the way of ``encode``. No text is null.
+        """
+        if not len(column):
+            return np.zeros(0, np.uint16), np.zeros(0, np.int64)
+        odd = np.full(len(column), self.spaced)
+        if self.splitter and not self.spaced:
+            odd = pc.match_substring(column, "<|").to_numpy(zero_copy_only=False)
+        each = self.encode(column.filter(pa.array(odd)).to_pylist())
+        rest = np.frombuffer(b"".join(each), "<u2")
+        counts = np.zeros(len(column), np.int64)
+        counts[odd] = [len(x) // 2 for x in each]
+        if odd.all():
+            return rest, counts
+        flat, counts[~odd] = self._encode_plain(column.filter(pa.array(~odd)))
+        if not odd.any():
+            return flat, counts
+        out, of_odd = np.empty(len(flat) + len(rest), np.uint16), np.repeat(odd, counts)
+        out[of_odd], out[~of_odd] = rest, flat
+        return out, counts
+
+    def _encode_plain(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.memo) > MEMO_ENTRIES:
+            self.memo.clear()
+        if len(self.word_memo) > MEMO_ENTRIES:
+            self.word_memo.clear()
+        cut = pc.split_pattern(pc.replace_substring(column, "\n", " "), " ")
+        pieces = cut.flatten().dictionary_encode()
+        units = pieces.dictionary
+        plain = pc.match_substring_regex(units, PLAIN).to_numpy(zero_copy_only=False)
+        # Plain units: a word from the table, and perhaps a mark.
+        text = units.filter(pa.array(plain))
+        raw = np.frombuffer(text.buffers()[2] or b"", np.uint8)
+        final = raw[np.frombuffer(text.buffers()[1], np.int32)[1 : len(text) + 1] - 1] if len(text) else np.zeros(0, np.uint8)
+        mark = np.where(np.isin(final, [ord(m) for m in MARKS]), self.last[final], -1)
+        word_start, word_size, word_ids = self._table(pc.utf8_lower(pc.utf8_rtrim(text, characters="".join(MARKS))))
+        # All others go through the pattern, or come from the memo.
+        others = units.filter(pa.array(~plain)).to_numpy(zero_copy_only=False).tolist()
+        known = list(map(self.memo.get, others))
+        self._learn([u for u, ids in zip(others, known) if ids is None])
+        known = list(map(self.memo.__getitem__, others))
+        size = np.zeros(len(units), np.int64)
+        size[plain], size[~plain] = word_size + (mark >= 0), np.fromiter(map(len, known), np.int64, len(known)) // 2
+        ends = np.cumsum(size)
+        start, ids = ends - size, np.empty(int(ends[-1]), np.uint16)
+        ids[_spread(start[plain], word_size)] = word_ids[_spread(word_start, word_size)]
+        ids[ends[plain][mark >= 0] - 1] = mark[mark >= 0]
+        ids[_spread(start[~plain], size[~plain])] = np.frombuffer(b"".join(known), "<u2")
+        at = pieces.indices.to_numpy()
+        ends = np.cumsum(size[at])
+        closing = np.diff(cut.offsets.to_numpy()).cumsum() - 1  # last piece of each text; every text has one
+        return ids[_spread(start[at], size[at])], np.diff(ends[closing], prepend=0)
+
+    def _table(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where the ids of each word stand in a table, how many these are, and the table, which keeps words of earlier batches."""
+        if self.table is None or len(self.table[0]) > MEMO_ENTRIES:
+            self.table = pa.array([], words.type), np.zeros(0, np.int64), np.zeros(0, np.uint16)
+        words = words.dictionary_encode()
+        seen, sizes, ids = self.table
+        at = pc.index_in(words.dictionary, value_set=seen).fill_null(-1).to_numpy().astype(np.int64)
+        new = words.dictionary.filter(pa.array(at < 0))
+        if len(new):
+            at[at < 0] = len(seen) + np.arange(len(new))
+            more, counts = self.merge(new.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist())
+            seen, sizes = pa.concat_arrays([seen, new]), np.concatenate([sizes, counts])
+            ids = np.concatenate([ids, more.astype(np.uint16)])
+            self.table = seen, sizes, ids
+        at = at[words.indices.to_numpy()]
+        return (np.cumsum(sizes) - sizes)[at], sizes[at], ids
+
     def decode(self, ids: np.ndarray) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist())).decode("utf-8", "replace")
 

@@ -38,31 +38,44 @@ SYMBOLS = 1 << 16
 
 
 def compress(ids: np.ndarray, last: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(symbols, last, rules) of a sequence of ids below ``terminals``; ``last`` marks the last id of each document."""
+    """(symbols, last, rules) of a sequence of ids below ``terminals``; ``last`` marks the last id of each document.
+
+    At the lowest threshold a round looks only where a pair can still be frequent: pairs of old symbols get rarer, so it is
+    places that the round before found frequent and left, and the neighbours of new symbols.
+    """
     symbols, last, rules, known = ids.astype(np.uint32), last.copy(), [], terminals
-    threshold = 0
+    threshold, look = 0, None
     while known < SYMBOLS and len(symbols) > 1:
-        key = symbols[:-1] << np.uint32(16) | symbols[1:]
-        inside = ~last[:-1]
-        # Exact counts only for pairs whose hash bucket is full enough; a bucket never counts too little.
-        bucket = (key * np.uint32(0x9E3779B1)) >> np.uint32(12)
-        full = np.bincount(bucket[inside], minlength=1 << 20)
-        threshold = max(LEAST, int(full.max()) // FALL if threshold == 0 else threshold // FALL)
-        place = np.flatnonzero(inside & (full >= threshold)[bucket])
-        pairs, counts = np.unique(key[place], return_counts=True)
+        if look is None:
+            key = symbols[:-1] << np.uint32(16) | symbols[1:]
+            inside, bucket = ~last[:-1], _bucket(key)
+            # Exact counts only for pairs whose hash bucket is full enough; a bucket never counts too little.
+            full = np.bincount(bucket[inside], minlength=1 << 20)
+            threshold = max(LEAST, int(full.max()) // FALL if threshold == 0 else threshold // FALL)
+            place = np.flatnonzero(inside & (full >= threshold)[bucket])
+            key = key[place]
+        else:
+            place = np.flatnonzero(look[:-1] & ~last[:-1])
+            key = symbols[place] << np.uint32(16) | symbols[place + 1]
+        pairs, counts = np.unique(key, return_counts=True)
         pairs, counts = pairs[counts >= threshold], counts[counts >= threshold]
         best = np.argsort(-counts, kind="stable")[: SYMBOLS - known]
         if not len(best):
             if threshold == LEAST:
                 break
             continue
-        rank = np.empty(len(pairs), np.int64)
-        rank.fill(SYMBOLS)
-        rank[best] = np.arange(len(best))
-        at = np.minimum(np.searchsorted(pairs, key[place]), len(pairs) - 1)
-        mine = np.where(pairs[at] == key[place], rank[at], SYMBOLS)
+        rank = np.full(len(pairs), SYMBOLS, np.int32)
+        rank[best] = np.arange(len(best), dtype=np.int32)
+        frequent = np.zeros(1 << 20, bool)
+        frequent[_bucket(pairs)] = True
+        may = frequent[_bucket(key)]
+        place, key = place[may], key[may]
+        at = np.minimum(np.searchsorted(pairs, key), len(pairs) - 1)
+        real = pairs[at] == key
+        place, mine = place[real], rank[at[real]]
+        found = place
         place, mine = place[mine < SYMBOLS], mine[mine < SYMBOLS]
-        over = np.full(len(symbols) + 1, SYMBOLS, np.int64)
+        over = np.full(len(symbols) + 1, SYMBOLS, np.int32)
         over[place] = mine
         wins = (mine <= over[place - 1]) & (mine <= over[place + 1])  # over[-1] is free
         place, mine = place[wins], mine[wins]
@@ -75,11 +88,20 @@ def compress(ids: np.ndarray, last: np.ndarray, terminals: int) -> tuple[np.ndar
         last[place] = last[place + 1]
         keep = np.ones(len(symbols), bool)
         keep[place + 1] = False
+        if threshold == LEAST:
+            look, fresh = np.zeros((2, len(symbols)), bool)
+            look[found] = fresh[place] = True
+            look, fresh = (look | fresh)[keep], fresh[keep]
+            look[:-1] |= fresh[1:]
         symbols, last, known = symbols[keep], last[keep], known + len(best)
     made = np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
     return symbols.astype(np.uint16), last, made.astype(np.uint16)
 
 
+def _bucket(pair: np.ndarray) -> np.ndarray:
+    return (pair * np.uint32(0x9E3779B1)) >> np.uint32(12)
+
+
 def expand(symbols: np.ndarray, rules: np.ndarray, terminals: int) -> np.ndarray:
     """The ids of symbols: what each rule expands to is laid out once, then every symbol copies its part."""
     size = np.ones(terminals + len(rules), np.int64)
@@ -112,16 +134,16 @@ def write_ids(docs: DataFrame, path: str, folder: str, end_id: int = 2, shard_to
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, part, shard = bpe.load(path), TaskContext.get().partitionId(), 0
         terminals = len(tokenizer.bytes_of)
-        end = np.array([end_id], "<u2").tobytes()
         names: list[pa.Array] = []
-        held: list[bytes] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []  # ids, and how many each document has
         size = 0
 
         def flush() -> pa.RecordBatch:
-            counts = np.fromiter((len(x) // 2 for x in held), np.int64, len(held))
-            ids = np.frombuffer(b"".join(held), "<u2")
-            last = np.zeros(len(ids), bool)
+            counts = np.concatenate([c for _, c in held]) + 1  # with the end id
+            last = np.zeros(int(counts.sum()), bool)
             last[np.cumsum(counts) - 1] = True
+            ids = np.full(len(last), end_id, np.uint16)
+            ids[~last] = np.concatenate([x for x, _ in held])
             symbols, closed, rules = compress(ids, last, terminals)
             lengths = np.ones(terminals + len(rules), np.uint32)
             for number, (left, right) in enumerate(rules.tolist()):
@@ -145,10 +167,9 @@ def write_ids(docs: DataFrame, path: str, folder: str, end_id: int = 2, shard_to
             )
 
         for batch in slices(batches, "text", 2 * shard_tokens):
-            encoded = [x + end for x in tokenizer.encode(batch.column("text").to_pylist())]
+            held.append(tokenizer.encode_column(batch.column("text")))
             names.append(batch.column("doc_id"))
-            held += encoded
-            size += sum(map(len, encoded)) // 2
+            size += len(held[-1][0]) + batch.num_rows
             if size >= shard_tokens:
                 yield flush()
                 names, held, size, shard = [], [], 0, shard + 1

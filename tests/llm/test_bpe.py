@@ -1,7 +1,12 @@
 import random
 
+import unicodedata
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
+import regex
 from tokenizers import Tokenizer
 
 from quarryline.llm import bpe
@@ -30,6 +35,28 @@ def test_same_as_library(name):
             assert a == b, repr(text[:60])
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+@pytest.mark.parametrize("entries", [bpe.MEMO_ENTRIES, 5])
+def test_columns_same_as_library(name, entries, monkeypatch):
+    monkeypatch.setattr(bpe, "MEMO_ENTRIES", entries)
+    library, own = Tokenizer.from_file(bpe.public_file(name)), bpe.Bpe(bpe.public_file(name))
+    accents = ["Été où, naïve. ŁÓDŹ; Ĳsselmeer ſo ŉ ǅ İstanbul Ёлка, мир! ΣΑΣ e\u0301te\u0301 ﬁn q\u0323\u0307x"]
+    for texts in (ODD, sample(400), ODD[::-1], accents, [""], ["<|endoftext|>"], ["a<|endoftext|>", "b", ""], []):
+        ids, counts = own.encode_column(pa.array(["skipped", *texts], pa.string())[1:])
+        expected = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+        assert counts.tolist() == [len(x) for x in expected]
+        assert ids.tolist() == [i for x in expected for i in x]
+
+
+def test_plain_letters():
+    """Arrow's lower case, normal form and the pattern agree with Python's for every letter of a plain word."""
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    letters = pa.array(every).filter(pc.match_substring_regex(pa.array(every), bpe.PLAIN))
+    for letter, lower in zip(letters.to_pylist(), pc.utf8_lower(letters).to_pylist()):
+        assert lower == letter.lower() and unicodedata.normalize("NFC", letter) == letter
+        assert not unicodedata.combining(letter) and regex.fullmatch(r"\p{L}", lower)
+
+
 def test_decode_is_the_text():
     own = bpe.Bpe(bpe.public_file("byte_bpe_50k.json"))
     assert [own.decode(np.frombuffer(x, "<u2")) for x in own.encode(ODD)] == ODD

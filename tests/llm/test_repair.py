@@ -48,6 +48,21 @@ def test_phrases_to_the_end():
     assert counts[~same].max(initial=0) < repair.LEAST and len(symbols) < len(ids) / 8
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_no_frequent_pair_is_overlooked(seed):
+    """The last rounds look at some places only, and still leave no pair in ``LEAST`` places."""
+    rng = np.random.default_rng(seed)
+    ids = (rng.zipf(1.3, 40_000) % 300).astype(np.uint16)
+    last = rng.random(len(ids)) < 0.02
+    last[-1] = True
+    symbols, closed, rules = repair.compress(ids, last, 300)
+    assert (repair.expand(symbols, rules, 300) == ids).all()
+    key = (symbols[:-1].astype(np.uint32) << 16 | symbols[1:])[~closed[:-1]]
+    pairs, counts = np.unique(key, return_counts=True)
+    same = (pairs >> 16) == (pairs & 0xFFFF)  # places of one symbol in a row overlap
+    assert len(rules) > 100 and counts[~same].max(initial=0) < repair.LEAST
+
+
 def test_random_access_reads_only_its_rules():
     rng = np.random.default_rng(3)
     ids = rng.integers(0, 6, 40_000).astype(np.uint16)
