@@ -466,6 +466,8 @@ run_labelled AS (
             rank, dist, chunk_id, chunk_text FROM lhits""",
         "v3_recall_target": f"""WITH {_LABEL_HITS} SELECT query_id, query_text, 'cells_r100_k{K}' AS run_name, 100 AS param_value,
             rank, dist, chunk_id, chunk_text FROM lhits""",
+        "v3_grown_cells": f"""WITH {_LABEL_HITS} SELECT query_id, query_text, 'cells_r100_k{K}' AS run_name, 100 AS param_value,
+            rank, dist, chunk_id, chunk_text FROM lhits""",
         "c10_embedding_text": f"""WITH {_ALL_SECTIONS} SELECT doc_id, block, section_no,
             concat_ws(e'\\n', 'source: ' || source, 'doc_id: ' || doc_id, 'H2: ' || h2, 'H3: ' || h3) || e'\\n\\n' || section_text
               AS embed_text FROM sections""",
