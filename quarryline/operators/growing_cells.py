@@ -10,6 +10,8 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -108,10 +110,9 @@ def _sums(chunks: DataFrame, centres: dict[int, np.ndarray]) -> dict[tuple[int,
         yield pa.RecordBatch.from_arrays(columns, names=["cell", "half", "n", "total"])
 
     parts = chunks.select("cell", F.col("embedding").cast("array<double>").alias("embedding")).mapInArrow(work, "cell int, half int, n long, total array<double>")
-    each = parts.select("cell", "half", "n", F.posexplode("total").alias("i", "x")).groupBy("cell", "half", "i")
-    means = each.agg(F.sum("n").alias("n"), F.sum("x").alias("x"))
-    rows = means.groupBy("cell", "half").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("i", "x"))).alias("total"))
-    return {(r.cell, r.half): (r.n, np.round([p.x / r.n for p in r.total], _DECIMALS)) for r in rows.collect()}
+    total = vector_to_array(Summarizer.sum(array_to_vector("total"))).alias("total")
+    rows = parts.groupBy("cell", "half").agg(F.sum("n").alias("n"), total)
+    return {(r.cell, r.half): (r.n, np.round(np.array(r.total) / r.n, _DECIMALS)) for r in rows.collect()}
 
 
 def _halves(index: CellIndex, cells: Sequence[int], steps: int) -> dict[int, tuple[np.ndarray, list[int]]]:
