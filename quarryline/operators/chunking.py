@@ -13,11 +13,12 @@ from collections.abc import Sequence
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarryline.functions import text as X
+from quarryline.session import bound_batches
 
 NO_TOPIC, NO_SECTION = "General", "Overview"  # fixed values
 HEADERS = ("##", "###")  # fixed values, outer and inner
@@ -156,6 +157,7 @@ def recursive_pieces(
 ) -> Column:
     """Size split of a text column into ``array<string>``, in Arrow batches; sequential inside one text only."""
     _check_size(size, overlap, separators)
+    bound_batches(SparkSession.active())
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
     def split(texts: pd.Series) -> pd.Series:

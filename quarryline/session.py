@@ -27,11 +27,20 @@ def local_session(cores: int = 8, memory: str = "8g") -> SparkSession:
     )
 
 
+_BATCH_BYTES = 4 << 20  # of texts in one Arrow batch
 _SHARED_BY_ALL = "local"  # masters whose executors run on the driver's machine begin like this
 _staged: list[tuple[SparkSession, str]] = []
 _reached: set[tuple[str, str]] = set()  # application and root, once all executors were seen to share it
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Spark's Arrow batch of 10,000 rows holds up to 64 MB of text, several times over in every Python worker. Gives the
+    session's batches a smaller bound, unless one is set already; results do not depend on it."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(_BATCH_BYTES))
+
+
 def file_system(spark: SparkSession, folder: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -196,3 +196,12 @@ def test_patterns_and_headers_are_parameters(spark):
     docs = spark.createDataFrame([("d", "s", "p", "= Top\none\n****\n== Sub\ntwo")], "doc_id string, source string, relative_path string, text string")
     rows = C.chunk_corpus(docs, inject_context=False, rule=r"(?m)^\*{4}$", topic_line=r"^==\s+(.+)$", headers=("=", "==")).collect()
     assert sorted((r["topic"], r["section"], r["content"]) for r in rows) == [("General", "Top", "one"), ("Sub", "Overview", "two")]
+
+
+def test_size_split_is_given_few_bytes_at_a_time(spark):
+    """3,000 texts of 20,000 characters are 60 MB, fewer rows than an Arrow batch takes."""
+    split = C.recursive_pieces(F.col("text"))
+    docs = spark.range(0, 3000, 1, 1).select("id", F.repeat(F.lit("word "), F.lit(4000)).alias("text"))
+    held = F.pandas_udf(lambda texts: texts.map(len) * 0 + texts.map(len).sum(), "long")
+    assert docs.select(held("text").alias("n")).agg(F.max("n")).first()[0] < 8 << 20
+    assert docs.select(F.size(split).alias("n")).agg(F.min("n"), F.max("n")).first() == (8, 8)
