@@ -205,3 +205,14 @@ def test_size_split_is_given_few_bytes_at_a_time(spark):
     held = F.pandas_udf(lambda texts: texts.map(len) * 0 + texts.map(len).sum(), "long")
     assert docs.select(held("text").alias("n")).agg(F.max("n")).first()[0] < 8 << 20
     assert docs.select(F.size(split).alias("n")).agg(F.min("n"), F.max("n")).first() == (8, 8)
+
+
+def test_chunking_a_corpus_bounds_the_batches_too(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(key)
+    C.chunk_corpus(spark.createDataFrame([("s::a", "s", "a", "text")], "doc_id string, source string, relative_path string, text string"))
+    assert int(spark.conf.get(key)) <= 8 << 20
+    spark.conf.set(key, "1m")
+    C.recursive_pieces(F.col("text"))
+    assert spark.conf.get(key) == "1m"  # a bound that is set already stays
+    spark.conf.unset(key)
