@@ -66,7 +66,11 @@ def queries() -> dict[str, Query]:
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """The rows of a table. Those of fewer files than cores are dealt out, as a file of one row group is read by one task."""
-    rows, cores = spark.read.parquet(f"{sf}/{name}.parquet"), spark.sparkContext.defaultParallelism
+    return _dealt(spark.read.parquet(f"{sf}/{name}.parquet"))
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    cores = rows.sparkSession.sparkContext.defaultParallelism
     return rows.repartition(cores) if len(rows.inputFiles()) < cores else rows
 
 
@@ -191,8 +195,8 @@ def _hit_columns(hits: DataFrame, value: str) -> DataFrame:
 @query("s1_load_corpus")
 def s1(spark: SparkSession, sf: str) -> DataFrame:
     folder = shared_folder(spark)
-    docs = table(spark, sf, "documents").select("source", "text")
-    docs.write.option("maxRecordsPerFile", 1).partitionBy("source").text(folder)
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("source", F.monotonically_increasing_id().alias("no"), "text")
+    files.write_corpus(_dealt(docs), folder)
     found = files.load_corpus(spark, folder, "corpus")
     # The text sink ends a file with a line feed.
     text = F.regexp_replace("text", r"\n\z", "")

@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+import os
 import re
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarryline import schemas
+from quarryline.session import bound_batches, file_system
 
+_TASKS_PER_CORE, _PARTS_PER_TASK = 16, 64  # a corpus is read by more tasks than the first only where each has the second
+# Folder names of the text sink.
+_NO_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+_NOT_IN_FOLDER = re.compile("[\x01-\x1f\x7f\"#%'*/:=?\\\\{\\[\\]^]")
 _SCHEME = re.compile("^[A-Za-z][A-Za-z0-9+.-]*:")
 TEXT_EXTENSIONS = (".md", ".txt")  # fixed values
 # Quotes inside quotes are doubled, line breaks and outer blanks are kept, and an empty text stays empty.
@@ -24,8 +32,14 @@ def load_corpus(
     extensions: Sequence[str] | None = None,
     recursive: bool = True,
 ) -> DataFrame:
-    """One row per text file below ``root`` (an absolute path or URI): (doc_id, source, relative_path, text)."""
+    """One row per text file below ``root`` (an absolute path or URI): (doc_id, source, relative_path, text).
+
+    Spark counts a file as 4 MB at least, so a million small ones would be hundred thousands of tasks; a task reads the files of
+    several of Spark's partitions one after another.
+    """
     files, relative = _text_files(spark, root, extensions, recursive, wholetext=True)
+    cores = spark.sparkContext.defaultParallelism
+    files = files.coalesce(max(_TASKS_PER_CORE * cores, files.rdd.getNumPartitions() // _PARTS_PER_TASK))
     return files.select(
         F.concat(F.lit(f"{source}::"), relative).alias("doc_id"),
         F.lit(source).alias("source"),
@@ -34,6 +48,36 @@ def load_corpus(
     )
 
 
+def write_corpus(docs: DataFrame, root: str) -> None:
+    """Each row of (source, no, text) as a text file in a folder ``source=...`` below ``root``; it ends with a line feed, as those of
+    the text sink do. ``no`` numbers the rows.
+
+    On a mounted path Hadoop starts two processes for every file that the sink creates, and the driver renames all of them; there
+    the tasks write the files themselves. A file is named by its row, so a task that runs twice writes the same files again.
+    """
+    spark = docs.sparkSession
+    path, system = file_system(spark, root)
+    if system.getUri().getScheme() != "file":
+        docs.select("source", "text").write.option("maxRecordsPerFile", 1).partitionBy("source").text(root)
+        return
+    base = path.toUri().getPath()
+    os.makedirs(base, exist_ok=True)  # also where there is no row
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for source, no, text in zip(*(batch.column(c).to_pylist() for c in ("source", "no", "text"))):
+                folder = f"{base}/source={_NOT_IN_FOLDER.sub(lambda m: f'%{ord(m[0]):02X}', source) if source else _NO_FOLDER}"
+                begun = f"{folder}/.{no}-{uuid.uuid4().hex}"
+                os.makedirs(folder, exist_ok=True)
+                with open(begun, "wb") as file:
+                    file.write((text or "").encode() + b"\n")
+                os.replace(begun, f"{folder}/{no}.txt")
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    bound_batches(spark)
+    docs.select("source", "no", "text").mapInArrow(put, "n long").agg(F.sum("n")).collect()
+
+
 def load_lines(
     spark: SparkSession,
     root: str,

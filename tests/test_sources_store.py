@@ -25,6 +25,39 @@ def test_corpus_scan(spark, tmp_path):
         files.load_corpus(spark, "relative", "s")
 
 
+ODD = [("a", "x\n"), ("a", "x\n"), ("a b", ""), ("a/b=c%:[x]", "y"), ("ü {1}^'\"#*?\\\x7f\t", None), ("", "z"), (None, "\r\nü"), ("_h", "v")]
+
+
+def test_written_corpus_is_that_of_the_text_sink(spark, tmp_path):
+    docs = spark.createDataFrame([(s, n, t) for n, (s, t) in enumerate(ODD)], "source string, no long, text string").repartition(3)
+    files.write_corpus(docs, f"file://{tmp_path}/some where %41/new")
+    docs.select("source", "text").write.option("maxRecordsPerFile", 1).partitionBy("source").text(str(tmp_path / "sink"))
+    got, want = (
+        sorted((f.parent.name, f.read_bytes()) for f in (tmp_path / top).rglob("*.txt")) for top in ("some where %41/new", "sink")
+    )
+    assert got == want and len(got) == len(ODD)
+    loaded = [files.load_corpus(spark, str(tmp_path / top), "s").select("text").collect() for top in ("some where %41/new", "sink")]
+    assert sorted(loaded[0]) == sorted(loaded[1])
+    files.write_corpus(docs, str(tmp_path / "some where %41/new"))  # a second try leaves no other files
+    assert len([f for f in (tmp_path / "some where %41/new").rglob("*") if f.is_file()]) == len(ODD)
+    files.write_corpus(docs.where("false"), str(tmp_path / "none"))
+    assert files.load_corpus(spark, str(tmp_path / "none"), "s").isEmpty()
+
+
+def test_many_small_files_are_few_tasks(spark, tmp_path):
+    for i in range(80):
+        (tmp_path / f"{i}.md").write_text(str(i))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        docs = files.load_corpus(spark, str(tmp_path), "s")
+        tasks, texts = docs.rdd.getNumPartitions(), {r.text for r in docs.collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert tasks <= 16 * 4 and texts == {str(i) for i in range(80)}
+
+
 def test_queries(spark, tmp_path):
     good = {"id": "q1", "category": "c", "difficulty": 2, "text": "t", "atoms_required": ["x"], "other": 1}
     path = tmp_path / "q.jsonl"
