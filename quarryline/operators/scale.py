@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -91,11 +93,13 @@ def running(
     lasts: dict[str, Column] | None = None,
     earlier: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """A prefix scan along each key, however long it is: rows of ``in_ranges`` with further columns, staged again.
+    """A prefix scan along each key, however long it is: rows of ``in_ranges`` with further columns.
 
     ``sums`` add up to and with the row, ``lasts`` are the last value up to and with the row that is not null, ``earlier``
     the last one before the row. Every range is scanned by itself; what a key has in earlier ranges is summed up from one
-    row per range and key. ``keys`` may be more than the rows were ranged by, as long as they ascend with ``order``.
+    row per range and key, when this is called. ``keys`` may be more than the rows were ranged by, as long as they ascend with
+    ``order``; then only the first key of a range can have earlier ones, so what is carried is a row per range and is broadcast.
+    The rows themselves are not staged: scans of scans run in one pass, and readers of few columns carry few.
     """
     sums, lasts, earlier = sums or {}, lasts or {}, earlier or {}
     values = {**sums, **lasts, **earlier}
@@ -112,6 +116,7 @@ def running(
         *[F.sum(n).over(before).alias(f"_b_{n}") for n in sums],
         *[F.last(n, ignorenulls=True).over(before).alias(f"_b_{n}") for n in (*lasts, *earlier)],
     )
+    carried = stage(shifts.where(reduce(or_, [F.col(f"_b_{n}").isNotNull() for n in values])))
     inside = Window.partitionBy("_range", *keys).orderBy(*order)
     so_far, until = inside.rowsBetween(Window.unboundedPreceding, 0), inside.rowsBetween(Window.unboundedPreceding, -1)
     local = rows.withColumns(
@@ -122,14 +127,12 @@ def running(
     match = F.col("_range") == F.col("_range_r")
     for c in keys:
         match = match & F.col(c).eqNullSafe(F.col(f"_key_{c}"))
-    joined = local.join(shifts, match, "left")
+    joined = local.join(F.broadcast(carried), match, "left")
     zero = F.lit(0)
-    return stage(
-        joined.select(
-            *ranged.columns,
-            *[(F.coalesce(f"_l_{n}", zero) + F.coalesce(f"_b_{n}", zero)).alias(n) for n in sums],
-            *[F.coalesce(f"_l_{n}", f"_b_{n}").alias(n) for n in (*lasts, *earlier)],
-        )
+    return joined.select(
+        *ranged.columns,
+        *[(F.coalesce(f"_l_{n}", zero) + F.coalesce(f"_b_{n}", zero)).alias(n) for n in sums],
+        *[F.coalesce(f"_l_{n}", f"_b_{n}").alias(n) for n in (*lasts, *earlier)],
     )
 
 

@@ -7,6 +7,7 @@ import contextlib
 import re
 import tempfile
 import uuid
+import weakref
 from collections.abc import Iterator
 
 from pyspark.errors import PySparkException
@@ -30,6 +31,8 @@ def local_session(cores: int = 8, memory: str = "8g") -> SparkSession:
 _BATCH_BYTES = 4 << 20  # of texts in one Arrow batch
 _SHARED_BY_ALL = "local"  # masters whose executors run on the driver's machine begin like this
 _staged: list[tuple[SparkSession, str]] = []
+_folders: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()  # of staged tables
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _reached: set[tuple[str, str]] = set()  # application and root, once all executors were seen to share it
 
 
@@ -120,12 +123,39 @@ def scratch() -> Iterator[None]:
         drop_staged(since)
 
 
+@contextlib.contextmanager
+def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files go when the job that wrote them ends, not when the driver happens to collect its garbage."""
+    before = spark.conf.get(_DROP_SHUFFLES, None)
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_DROP_SHUFFLES)
+        else:
+            spark.conf.set(_DROP_SHUFFLES, before)
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back, so that several readers see the very same rows.
 
     A Parquet table rather than an RDD checkpoint: readers prune columns, push filters down, and the planner knows
     its size. It outlives lost executors and cuts the lineage just as well.
     """
-    folder = shared_folder(df.sparkSession)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    spark = df.sparkSession
+    folder = shared_folder(spark)
+    with _shuffles_dropped(spark):
+        df.write.option("compression", "zstd").parquet(folder)
+    staged = spark.read.schema(df.schema).parquet(folder)
+    _folders[staged] = folder
+    return staged
+
+
+def unstage(*tables: DataFrame) -> None:
+    """Delete tables that ``stage`` returned and that nothing reads any more, before the process ends."""
+    for table in tables:
+        folder = _folders.pop(table)
+        path, system = file_system(table.sparkSession, folder)
+        system.delete(path, True)
+        _staged.remove((table.sparkSession, folder))

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from quarryline import session
 from quarryline.operators import chunking as C
 from quarryline.operators import long_documents as L
 from quarryline.operators.scale import in_ranges, running
@@ -52,6 +53,17 @@ def test_one_document_spreads_over_tasks(spark):
     assert got == want
 
 
+def test_little_stays_on_disk(spark, tmp_path, monkeypatch):
+    """The chunks wait for their reader as pieces; lines, and what was scanned on the way, are gone by then."""
+    rng = random.Random(5)
+    texts = ["\n".join(f"## {i}" if i % 20 == 0 else "%060x" % rng.getrandbits(240) for i in range(4000)) for _ in range(4)]
+    frame = spark.createDataFrame([(f"d{i}", "s", f"{i}.md", t) for i, t in enumerate(texts)], DOC)
+    monkeypatch.setattr(session, "_root", lambda _: str(tmp_path))
+    chunks = L.chunk_lines(L.lines_of(frame), size=200, overlap=20)
+    left = sum(f.stat().st_size for f in tmp_path.rglob("*.parquet"))
+    assert left < sum(map(len, texts)) and chunks.count() > 4000
+
+
 def test_files_are_read_in_splits(spark, tmp_path):
     for i in range(3):
         (tmp_path / f"{i}.md").write_bytes(prose(i, 1500).encode())

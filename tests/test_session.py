@@ -60,3 +60,12 @@ def test_a_folder_of_one_machine_is_found_out_on_a_cluster(spark, tmp_path, monk
     monkeypatch.setattr(cluster, "read", spark.read)
     with session.scratch():
         session.shared_folder(cluster)  # nothing was remembered of the refusal
+
+
+def test_unstaged_tables_are_gone_and_settings_stay(spark, tmp_path, monkeypatch):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    monkeypatch.setattr(session, "_root", lambda _: str(tmp_path))
+    kept, gone = [session.stage(spark.range(n).groupBy("id").count()) for n in (5, 7)]
+    session.unstage(gone)
+    assert kept.count() == 5 and len(os.listdir(tmp_path)) == 1 and spark.conf.get(key) == before
